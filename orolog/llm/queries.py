@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import sharding, sql
+from orolog.llm import decontaminate, mixing, quality, sharding, sql
 from orolog.llm._shared import documents
 
 SHARDS = 16
@@ -20,12 +20,32 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words in all documents."""
+    out = decontaminate.find_overlap(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of all documents by source weights 5, 2, 1, repeating."""
+    out = mixing.mix(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and compression bands of all documents."""
+    return quality.score_quality(documents(spark, sf_dir)).drop("n_chunks", "n_bad_chunks")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_sharding": op3_sharding,
+        "op6_decontamination": op6_decontamination,
+        "op7_mixing": op7_mixing,
+        "op8_quality": op8_quality,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sql.SHARDING} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op3_sharding": sql.SHARDING, "op6_decontamination": sql.DECONTAMINATION} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

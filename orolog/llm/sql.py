@@ -15,11 +15,27 @@ WITH {_CRC},
 d AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
     xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
-      lambda c, b: xor(c >> 8, (SELECT t FROM crc_table)[xor(c & 255, b) + 1])), 4294967295) AS text_crc32
-  FROM documents),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc_table),
 s AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total,
   row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) AS rank FROM d),
 p AS (SELECT *, least(15, ((2 * before + size) * 16) // (2 * total)) AS shard FROM s)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
   (rank - min(rank) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM p"""
+
+
+_FOLD = "string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), ' ')"
+
+DECONTAMINATION = f"""
+WITH b AS (SELECT item_id::VARCHAR AS item, list_filter({_FOLD}, lambda x: x <> '') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, list_slice(w, i, i + 9) AS win FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS row, doc_id, list_filter({_FOLD}, lambda x: x <> '') AS w FROM documents),
+widths AS (SELECT DISTINCT len(win) AS n FROM bw),
+dw AS (SELECT row, i, n, list_slice(w, i, i + n - 1) AS win FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, widths WHERE len(w) >= n)),
+hit AS (SELECT dw.row, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.win = bw.win),
+hw AS (SELECT row, count(DISTINCT j) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS j FROM hit) GROUP BY row),
+hi AS (SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (row) LEFT JOIN hi USING (row)"""
