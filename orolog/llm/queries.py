@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, mixing, quality, sharding, sql
+from orolog.llm import decontaminate, mixing, quality, secret_scan, sharding, sql
 from orolog.llm._shared import documents
 
 SHARDS = 16
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    docs = documents(spark, sf_dir)
+    samples = secret_scan.random_strings(spark).unionByName(secret_scan.ordinary_identifiers(docs))
+    return secret_scan.digest(secret_scan.find_secrets(docs, secret_scan.train(samples)))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of nearly equal bytes."""
     out = sharding.contiguous_shards(documents(spark, sf_dir), SHARDS)
@@ -39,6 +46,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secrets": op1_secrets,
         "op3_sharding": op3_sharding,
         "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
