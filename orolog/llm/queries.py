@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, mixing, quality, secret_scan, sharding, sql
+from orolog.llm import decontaminate, mixing, pii, quality, secret_scan, sharding, sql
 from orolog.llm._shared import documents
 
 SHARDS = 16
@@ -27,6 +27,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    out = pii.find_pii(documents(spark, sf_dir))
+    return out.select("doc_id", *(f"n_{k}" for k in pii.KINDS), "n_added", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in all documents."""
     out = decontaminate.find_overlap(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
@@ -48,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
         "op3_sharding": op3_sharding,
+        "op5_pii": op5_pii,
         "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
