@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, mixing, pii, quality, secret_scan, sharding, sql
-from orolog.llm._shared import documents
+from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, sql
+from orolog.llm._shared import documents, held_out
 
 SHARDS = 16
 
@@ -50,6 +50,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir)).drop("n_chunks", "n_bad_chunks")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    docs = documents(spark, sf_dir)
+    out = langid.identify(docs, langid.train(docs.where(~held_out(docs["doc_id"])).select("doc_id", "lang", "text")))
+    return out.select("doc_id", held_out(out["doc_id"]).alias("held_out"), "lang_pred", "score", "n_spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -58,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
+        "op10_language": op10_language,
         "pipeline": corpus_pipeline.run,
     }
 
