@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, sql
+from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, simhash, sql
 from orolog.llm._shared import documents, held_out
 
 SHARDS = 16
@@ -27,6 +27,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    out = simhash.near_duplicates(documents(spark, sf_dir))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     out = pii.find_pii(documents(spark, sf_dir))
@@ -61,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
         "op3_sharding": op3_sharding,
+        "op4_simhash": op4_simhash,
         "op5_pii": op5_pii,
         "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
