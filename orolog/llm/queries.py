@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, simhash, sql
+from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, simhash, sql, toxicity
 from orolog.llm._shared import documents, held_out
 
 SHARDS = 16
@@ -21,6 +21,13 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(docs, secret_scan.train(samples)))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    out = toxicity.score_toxicity(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(out["doc_id"]).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of nearly equal bytes."""
     out = sharding.contiguous_shards(documents(spark, sf_dir), SHARDS)
@@ -66,6 +73,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
+        "op2_toxicity": op2_toxicity,
         "op3_sharding": op3_sharding,
         "op4_simhash": op4_simhash,
         "op5_pii": op5_pii,
