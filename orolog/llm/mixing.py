@@ -151,3 +151,20 @@ def mix(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "t
         level = done.where("extra is null").withColumn("node", F.expr(f"node div {fan_in}")).select(*level.columns)
     out = reduce(DataFrame.unionByName, settled)
     return out.join(sources, "source_no").select("doc_id", "text_crc32", F.col("source_name").alias("source"), out["size"], "source_size", "target", (F.col("whole") + F.col("extra")).alias("copies"))
+
+
+def mixed(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them; all columns as they are.
+
+    Of rows that agree in id, text and source one stands for all: it comes as often as the mix takes them together.
+    """
+    whole = mix(df, seed, id_col, text_col, source_col)
+    taken = whole.groupBy("doc_id", "text_crc32", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    crc = F.crc32(F.coalesce(df[text_col], F.lit("")).cast("binary"))
+    keyed = df.select(F.struct(*(df[c] for c in df.columns)).alias("row"), df[id_col].cast("long").alias("__id"), crc.alias("__crc"), df[source_col].alias("__source"))
+    taken = cut(taken.where("copies > 0").select(F.col("doc_id").alias("t_id"), F.col("text_crc32").alias("t_crc"), F.col("source").alias("t_source"), "copies", "rows"), "mix-taken")
+    if not taken.where("rows > 1").isEmpty():  # any of the rows that agree stands for all of them
+        keyed = keyed.groupBy("__id", "__crc", "__source").agg(F.first("row").alias("row"))
+    match = keyed["__id"].eqNullSafe(taken["t_id"]) & (keyed["__crc"] == taken["t_crc"]) & keyed["__source"].eqNullSafe(taken["t_source"])
+    joined = keyed.join(taken, match)
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
