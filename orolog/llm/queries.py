@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, simhash, sql, toxicity
+from orolog.llm import decontaminate, langid, mixing, pii, quality, secret_scan, sharding, simhash, sql, tokens, toxicity
 from orolog.llm._shared import documents, held_out
 
 SHARDS = 16
+#: Vocabulary file of op9.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir)).drop("n_chunks", "n_bad_chunks")
 
 
+def op9_tokens(spark: SparkSession, sf_dir: str, pieces: str = PIECES) -> DataFrame:
+    """Tokens of all documents under the unigram reading of a vocabulary file."""
+    return tokens.count_tokens(documents(spark, sf_dir), tokens.load(pieces))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those that are not held out."""
     docs = documents(spark, sf_dir)
@@ -80,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
+        "op9_tokens": op9_tokens,
         "op10_language": op10_language,
         "pipeline": corpus_pipeline.run,
     }
