@@ -79,7 +79,7 @@ _LOOKALIKES = (
 GLYPHS = {a: b for one, other in _LOOKALIKES for a, b in zip(one, other, strict=True)}
 GLYPHS |= {chr(c + 0xFEE0): chr(c) for c in range(0x21, 0x7F)}  # wide forms
 GLYPHS |= {chr(0x1D7CE + i): str(i % 10) for i in range(50)}  # mathematical digits
-GLYPHS |= {c: "" for c in "​‌‍⁠﻿­"}  # nothing to see
+GLYPHS |= {c: "" for c in "\u200B\u200C\u200D\u2060\uFEFF\u00AD"}  # nothing to see
 # Digits 0 to 9 spelled in four languages.
 _SPELLED = (
     "zero one two three four five six seven eight nine",

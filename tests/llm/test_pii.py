@@ -48,7 +48,7 @@ def test_many_planted_identifiers_match_brute_force():
         ("call +one five five five one two three four five six seven now", "phone", "+one five five five one two three four five six seven"),
         ("call plus one five five five one two three four five six seven now", "phone", "plus one five five five one two three four five six seven"),
         ("card four one one one 1111 1111 1111 ok", "card", "four one one one 1111 1111 1111"),
-        ("card 4111​1111​1111​1111 ok", "card", "4111​1111​1111​1111"),
+        ("card 4111\u200B1111\u200B1111\u200B1111 ok", "card", "4111\u200B1111\u200B1111\u200B1111"),
         ("host １９２.１６８.１.１ up", "ip", "１９２.１６８.１.１"),
         ("host 192 (dot) 168 (dot) 1 (dot) 1 up", "ip", "192 (dot) 168 (dot) 1 (dot) 1"),
     ],
