@@ -67,12 +67,16 @@ def extracted(x: Column, pattern: str, group: int) -> Column:
     return blank_to_null(F.regexp_extract(x, pattern, group))
 
 
-def lines(text: Column) -> Column:
-    """Lines of a text at any line break; a break at the very end opens no further line."""
-    parts = F.split(text, LINE_BREAK)
+def whole_lines(parts: Column) -> Column:
+    """Parts between line breaks as lines: a break at the very end opens no further line."""
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def lines(text: Column) -> Column:
+    """Lines of a text at any line break."""
+    return whole_lines(F.split(text, LINE_BREAK))
+
+
 def numeric_tokens(text: Column) -> Column:
     """Pieces that are plain signed decimals; anything with a colon is a time and no number."""
     return F.filter(pieces(text), lambda t: t.rlike(NUMBER) & ~t.contains(":"))
@@ -145,8 +149,8 @@ def totals(text: Column) -> Column:
 
 def event_tokens(line: Column) -> Column:
     """Clock events of a line in order, as structs (kind, time)."""
-    zipped = F.arrays_zip(F.regexp_extract_all(line, F.lit(EVENT), F.lit(1)).alias("kind"), F.regexp_extract_all(line, F.lit(EVENT), F.lit(2)).alias("time"))
-    return zipped
+    part = lambda k, name: F.regexp_extract_all(line, F.lit(EVENT), F.lit(k)).alias(name)
+    return F.arrays_zip(part(1, "kind"), part(2, "time"))
 
 
 def clock_minutes(time: Column) -> Column:

@@ -19,117 +19,94 @@ NO_DAYS = "no day lines found"
 BAD_TIME = "impossible time or date on a clock event"
 
 
-def _day(line: Column) -> Column:
-    return X.extracted(X.strip(line), X.DAY_HEAD, 1).cast("int")
+def marked_lines(lines: Column) -> Column:
+    """Lines with the day and weekday that they begin with, if they do."""
+    stripped = F.transform(lines, lambda x, i: F.struct(i.alias("line_no"), x.alias("raw"), F.regexp_extract(X.strip(x), X.DAY_HEAD, 0).alias("head")))
+    return F.transform(stripped, lambda x: x.withField("day", F.substring(x["head"], 1, 2).try_cast("int")).withField("dow", X.blank_to_null(F.right(x["head"], F.lit(2)))))
 
 
-def _weekday(line: Column) -> Column:
-    return X.extracted(X.strip(line), X.DAY_HEAD, 2)
+def days(marked: Column) -> Column:
+    """Day records: lines that begin with a day and have three numbers after it, the last three of which are its hours.
 
-
-def _numbers(line: Column) -> Column:
-    """Numbers after a line's day head. The head's length is counted on the stripped line but cut from the raw one."""
-    head = F.length(F.regexp_extract(X.strip(line), X.DAY_HEAD, 0))
-    return X.numeric_tokens(F.substring(line, head + 1, F.length(line)))
-
-
-def days(lines: Column) -> Column:
-    """Day records of an array of lines: lines with a day head and three numbers, the last three of which are its hours."""
-    marked = F.transform(lines, lambda line, i: F.struct(i.alias("line_no"), _day(line).alias("day"), _weekday(line).alias("dow"), line.alias("raw")))
-    kept = F.filter(marked, lambda x: x["day"].isNotNull())
-    read = F.transform(kept, lambda x: F.struct(x["line_no"].alias("line_no"), x["day"].alias("day"), x["dow"].alias("dow"), x["raw"].alias("raw"), _numbers(x["raw"]).alias("n")))
+    The head's length is counted on the stripped line but cut from the raw one.
+    """
+    found = F.filter(marked, lambda x: x["day"].isNotNull())
+    read = F.transform(found, lambda x: x.withField("n", X.numeric_tokens(F.substring(x["raw"], F.length(x["head"]) + 1, F.length(x["raw"])))))
     full = F.filter(read, lambda x: F.size(x["n"]) >= FEW_NUMBERS)
-
-    def record(x: Column) -> Column:
-        value = lambda k: X.number(F.element_at(x["n"], -k))
-        return F.struct(
+    valued = F.transform(full, lambda x: x.withField("v", F.transform(F.slice(x["n"], -FEW_NUMBERS, FEW_NUMBERS), X.number)))
+    return F.transform(
+        valued,
+        lambda x: F.struct(
             x["line_no"].alias("line_no"),
             x["day"].alias("day"),
             x["dow"].alias("dow"),
-            X.hhmm_hours(value(3)).alias("mo_f"),
-            X.hhmm_hours(value(2)).alias("mo_t"),
-            X.hhmm_hours(value(1)).alias("mo_lav"),
-            X.hhmm_minutes(value(1)).alias("worked"),
+            X.hhmm_hours(x["v"][0]).alias("mo_f"),
+            X.hhmm_hours(x["v"][1]).alias("mo_t"),
+            X.hhmm_hours(x["v"][2]).alias("mo_lav"),
+            X.hhmm_minutes(x["v"][2]).alias("worked"),
             x["raw"].alias("raw"),
-        )
-
-    return F.transform(full, record)
+        ),
+    )
 
 
-def events(lines: Column) -> Column:
-    """Clock events of an array of lines, each with its run.
+def events(marked: Column) -> Column:
+    """Clock events in order, each with its run.
 
     A run begins at a day head whose day and weekday differ from those of the run before; a repeated head goes
     on with it. Lines before the first head belong to none, and their events are left out.
     """
-    none = F.array().cast("array<struct<run: int, day: int, dow: string, kind: string, time: string, raw: string>>")
-    start = F.struct(F.lit(0).alias("run"), F.lit(None).cast("int").alias("day"), F.lit(None).cast("string").alias("dow"), none.alias("out"))
-    telling = F.filter(
-        F.transform(lines, lambda line: F.struct(_day(line).alias("day"), _weekday(line).alias("dow"), X.event_tokens(line).alias("tokens"), line.alias("raw"))),
-        lambda x: x["day"].isNotNull() | (F.size(x["tokens"]) > 0),
-    )
+    told = F.transform(marked, lambda x: F.struct(x["day"].alias("day"), x["dow"].alias("dow"), X.event_tokens(x["raw"]).alias("tokens"), x["raw"].alias("raw")))
+    told = F.filter(told, lambda x: x["day"].isNotNull() | (F.size(x["tokens"]) > 0))
+    none = F.array().cast("array<struct<run: int, day: int, dow: string>>")
+    start = F.struct(F.struct(F.lit(0).alias("run"), F.lit(None).cast("int").alias("day"), F.lit(None).cast("string").alias("dow")).alias("now"), none.alias("out"))
 
     def step(state: Column, x: Column) -> Column:
-        new = x["day"].isNotNull() & ~(x["day"].eqNullSafe(state["day"]) & x["dow"].eqNullSafe(state["dow"]))
-        run = state["run"] + F.when(new, 1).otherwise(0)
-        day = F.when(new, x["day"]).otherwise(state["day"])
-        dow = F.when(new, x["dow"]).otherwise(state["dow"])
-        found = F.transform(x["tokens"], lambda t: F.struct(run.alias("run"), day.alias("day"), dow.alias("dow"), t["kind"].alias("kind"), t["time"].alias("time"), x["raw"].alias("raw")))
-        return F.struct(run.alias("run"), day.alias("day"), dow.alias("dow"), F.when(run > 0, F.concat(state["out"], found)).otherwise(state["out"]).alias("out"))
+        now = state["now"]
+        same = x["day"].isNull() | (x["day"].eqNullSafe(now["day"]) & x["dow"].eqNullSafe(now["dow"]))
+        moved = F.when(same, now).otherwise(F.struct((now["run"] + 1).alias("run"), x["day"].alias("day"), x["dow"].alias("dow")))
+        return F.struct(moved.alias("now"), F.concat(state["out"], F.array(moved)).alias("out"))
 
-    return F.aggregate(telling, start, step, lambda s: s["out"])
+    runs = F.aggregate(told, start, step, lambda s: s["out"])
+    lined = F.filter(F.zip_with(told, runs, lambda x, r: F.struct(r.alias("r"), x["tokens"].alias("tokens"), x["raw"].alias("raw"))), lambda x: x["r"]["run"] > 0)
+    spread = lambda x: F.transform(x["tokens"], lambda t: F.struct(x["r"]["run"].alias("run"), x["r"]["day"].alias("day"), x["r"]["dow"].alias("dow"), t["kind"].alias("kind"), t["time"].alias("time"), x["raw"].alias("raw")))
+    return F.flatten(F.transform(lined, spread))
 
 
-def pairs(found: Column, year: Column, month: Column) -> Column:
+def neighbours(found: Column) -> Column:
+    """Events with the ones before and after them in their run."""
+    none = F.array(F.get(found, F.lit(-1)))
+    zipped = F.arrays_zip(found.alias("e"), F.concat(none, found).alias("p"), F.concat(F.slice(found, 2, F.size(found)), none).alias("n"))
+    known = F.filter(zipped, lambda x: x["e"].isNotNull())
+    return F.transform(known, lambda x: F.struct(x["e"].alias("e"), F.when(x["p"]["run"] == x["e"]["run"], x["p"]).alias("p"), F.when(x["n"]["run"] == x["e"]["run"], x["n"]).alias("n")))
+
+
+def pairs(near: Column, year: Column, month: Column) -> Column:
     """Entries and exits of one run paired in order: an entry takes the exit that follows it, and either may stay alone."""
-    near = lambda i, d, e: F.when(F.get(found, i + d)["run"] == e["run"], F.get(found, i + d))
-
-    def seen(e: Column, i: Column) -> Column:
-        before, after = near(i, -1, e), near(i, 1, e)
-        is_entry = e["kind"] == "E"
-        closes = is_entry & (after["kind"] == "U")
-        out = F.when(~is_entry, e).when(closes, after)
-        return F.struct(
-            (is_entry | before.isNull() | (before["kind"] == "U")).alias("keep"),
-            e["run"].alias("run"),
-            e["day"].alias("day"),
-            e["dow"].alias("dow"),
-            F.when(is_entry, e).alias("entry"),
-            out.alias("exit"),
-        )
-
-    kept = F.filter(F.transform(found, seen), lambda x: x["keep"])
-
-    def record(x: Column, i: Column) -> Column:
-        entry = X.moment(year, month, x["day"], x["entry"]["time"])
-        exit_ = X.rolled_over(entry, X.moment(year, month, x["day"], x["exit"]["time"]))
-        minutes = X.minutes_between(entry, exit_)
-        return F.struct(
+    kept = F.filter(near, lambda x: (x["e"]["kind"] == "E") | x["p"].isNull() | (x["p"]["kind"] == "U"))
+    sided = F.transform(kept, lambda x: F.struct(x["e"]["run"].alias("run"), x["e"]["day"].alias("day"), x["e"]["dow"].alias("dow"), F.when(x["e"]["kind"] == "E", x["e"]).alias("entry"), F.when(x["e"]["kind"] == "U", x["e"]).when(x["n"]["kind"] == "U", x["n"]).alias("exit")))
+    timed = F.transform(
+        sided,
+        lambda x: F.struct(
             x["run"].alias("run"),
             x["day"].alias("day"),
             x["dow"].alias("dow"),
-            i.alias("place"),
-            entry.alias("entry_ts"),
-            exit_.alias("exit_ts"),
-            X.hhmm_text(minutes).alias("duration_hhmm"),
-            minutes.cast("long").alias("minutes"),
-            X.shift(entry).alias("turno"),
+            X.moment(year, month, x["day"], x["entry"]["time"]).alias("entry_ts"),
+            X.moment(year, month, x["day"], x["exit"]["time"]).alias("exit_ts"),
             x["entry"]["raw"].alias("entry_raw"),
             x["exit"]["raw"].alias("exit_raw"),
-        )
-
-    placed = F.transform(kept, record)
-    first = F.aggregate(
-        placed,
-        F.struct(F.lit(0).alias("run"), F.lit(0).alias("first"), F.array().cast("array<int>").alias("out")),
-        lambda s, x: F.struct(
-            x["run"].alias("run"),
-            F.when(x["run"] == s["run"], s["first"]).otherwise(x["place"]).alias("first"),
-            F.concat(s["out"], F.array(x["place"] - F.when(x["run"] == s["run"], s["first"]).otherwise(x["place"]))).alias("out"),
         ),
-        lambda s: s["out"],
     )
-    return F.zip_with(placed, first, lambda x, n: F.when(x["run"].isNotNull(), x.withField("pair_index", n)))
+    rolled = F.transform(timed, lambda x: x.withField("exit_ts", X.rolled_over(x["entry_ts"], x["exit_ts"])))
+    lasting = F.transform(rolled, lambda x: x.withField("minutes", X.minutes_between(x["entry_ts"], x["exit_ts"]).cast("long")).withField("turno", X.shift(x["entry_ts"])))
+    placed = F.transform(lasting, lambda x, i: x.withField("duration_hhmm", X.hhmm_text(x["minutes"])).withField("place", i))
+    start = F.struct(F.lit(0).alias("run"), F.lit(-1).alias("n"), F.array().cast("array<int>").alias("out"))
+
+    def count(state: Column, x: Column) -> Column:
+        n = F.when(x["run"] == state["run"], state["n"] + 1).otherwise(0)
+        return F.struct(x["run"].alias("run"), n.alias("n"), F.concat(state["out"], F.array(n)).alias("out"))
+
+    numbers = F.aggregate(F.transform(kept, lambda x: F.struct(x["e"]["run"].alias("run"))), start, count, lambda s: s["out"])
+    return F.zip_with(placed, numbers, lambda x, n: x.withField("pair_index", n))
 
 
 def validation(day_records: Column, printed: Column) -> Column:
@@ -148,38 +125,47 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One nested row for each document: ``doc_id, status, error, meta, days, pairs, totals, validation``.
 
     A document without day lines, or with a clock event at an impossible time or date of a known month, fails as
-    a whole: it has an error and empty tables, and other documents go on. A null text has no lines.
+    a whole: it has an error and empty tables, and other documents go on. A null text has no lines. Each step is a
+    projection of its own, so that what a later one uses often is worked out once.
     """
     read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    read = read.select("doc_id", X.header(F.col("text")).alias("meta"), X.lines(F.col("text")).alias("lines"), X.totals(F.col("text")).alias("found_totals"))
+    read = read.select("doc_id", X.header(F.col("text")).alias("meta"), F.split("text", X.LINE_BREAK).alias("parts"), X.totals(F.col("text")).alias("found_totals"))
+    read = read.select("doc_id", "meta", "found_totals", marked_lines(X.whole_lines(F.col("parts"))).alias("marked"))
+    read = read.select("doc_id", "meta", "found_totals", days(F.col("marked")).alias("found_days"), events(F.col("marked")).alias("events"))
     year, month = F.col("meta.year"), F.col("meta.month")
-    read = read.select("doc_id", "meta", "found_totals", days(F.col("lines")).alias("found_days"), events(F.col("lines")).alias("events"))
     bad = F.exists("events", lambda e: X.bad_moment(year, month, e["day"], e["time"]))
-    error = F.when(F.size("found_days") == 0, NO_DAYS).when(bad, BAD_TIME)
-    read = read.withColumn("error", error)
+    read = read.select("*", F.when(F.size("found_days") == 0, NO_DAYS).when(bad, BAD_TIME).alias("error"))
     fine = F.col("error").isNull()
-    checked = validation(F.col("found_days"), F.try_element_at("found_totals", F.lit("ore_lavorate")))
+    none = lambda c: F.when(fine, F.col(c)).otherwise(F.slice(c, 1, 0)).alias(c)
+    read = read.select("doc_id", "error", "meta", F.when(fine, F.col("found_totals")).alias("totals"), none("found_days"), none("events"))
+    read = read.select("doc_id", "error", "meta", "totals", "found_days", neighbours(F.col("events")).alias("near"))
+    checked = validation(F.col("found_days"), F.try_element_at("totals", F.lit("ore_lavorate")))
     return read.select(
         "doc_id",
         F.when(fine, "success").otherwise("failed").alias("status"),
         "error",
         "meta",
-        F.when(fine, F.col("found_days")).otherwise(F.slice("found_days", 1, 0)).alias("days"),
-        pairs(F.when(fine, F.col("events")).otherwise(F.slice("events", 1, 0)), year, month).alias("pairs"),
-        F.when(fine, F.col("found_totals")).alias("totals"),
+        F.col("found_days").alias("days"),
+        pairs(F.col("near"), year, month).alias("pairs"),
+        "totals",
         F.when(fine, checked).alias("validation"),
     )
 
 
+def _each(parsed: DataFrame, records: str, name: str) -> DataFrame:
+    """A row for each record. An outer explode: of a plain one the optimizer makes a filter that parses everything once more."""
+    return parsed.select("doc_id", "meta.year", "meta.month", F.explode_outer(records).alias(name)).where(F.col(name).isNotNull())
+
+
 def days_table(parsed: DataFrame) -> DataFrame:
     """``doc_id, line_no`` and the columns of the days table."""
-    rows = parsed.select("doc_id", "meta.year", "meta.month", F.explode("days").alias("d"))
+    rows = _each(parsed, "days", "d")
     return rows.select("doc_id", "d.line_no", "year", "month", "d.day", "d.dow", "d.mo_f", "d.mo_t", "d.mo_lav", "d.raw")
 
 
 def pairs_table(parsed: DataFrame) -> DataFrame:
     """``doc_id, run`` and the columns of the pairs table, with whole minutes beside the duration."""
-    rows = parsed.select("doc_id", "meta.year", "meta.month", F.explode("pairs").alias("p"))
+    rows = _each(parsed, "pairs", "p")
     return rows.select("doc_id", "p.run", "year", "month", "p.day", "p.dow", "p.pair_index", "p.entry_ts", "p.exit_ts", "p.duration_hhmm", "p.minutes", "p.turno", "p.entry_raw", "p.exit_raw")
 
 
@@ -194,7 +180,8 @@ def validation_table(parsed: DataFrame) -> DataFrame:
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, line_no, line`` of every line; null and empty texts have none."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(X.lines(F.col(text_col))).alias("line_no", "line"))
+    parts = docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), X.LINE_BREAK).alias("parts"))
+    return parts.select("doc_id", F.posexplode_outer(X.whole_lines(F.col("parts"))).alias("line_no", "line")).where("line is not null")
 
 
 def segment_runs(df: DataFrame, by: list[str], order: list[str], value: list[str], name: str = "run_id") -> DataFrame:
