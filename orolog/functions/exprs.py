@@ -137,14 +137,19 @@ def header(text: Column) -> Column:
 
 
 def printed_total(text: Column, label: str) -> Column:
-    """The number after a label's first occurrence that has one, as printed."""
-    return number(extracted(text, label.replace(" ", r"\ ") + rf"[{SPACES}]+([+-]?[0-9]+(?:\.[0-9]+)?)", 1))
+    """The number after a label's first occurrence that has one, as printed; empty where there is none."""
+    return F.regexp_extract(text, label + rf"[{SPACES}]+([+-]?[0-9]+(?:\.[0-9]+)?)", 1)
 
 
 def totals(text: Column) -> Column:
-    """Map of the printed totals in decimal hours; a label that isn't found has no key."""
-    entries = [F.struct(F.lit(k).alias("key"), hhmm_hours(printed_total(text, label)).alias("value")) for k, label in TOTALS.items()]
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    """Map of the printed totals in decimal hours; a label that isn't found has no key.
+
+    Each label is looked for once; what is worked out from its number goes through array elements.
+    """
+    printed = F.array(*(F.struct(F.lit(k).alias("key"), printed_total(text, label).alias("value")) for k, label in TOTALS.items()))
+    found = F.filter(printed, lambda e: e["value"] != "")
+    numbers = F.transform(found, lambda e: e.withField("value", number(e["value"])))
+    return F.map_from_entries(F.transform(numbers, lambda e: e.withField("value", hhmm_hours(e["value"]))))
 
 
 def event_tokens(line: Column) -> Column:

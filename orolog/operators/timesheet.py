@@ -134,7 +134,9 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read = read.select("doc_id", "meta", "found_totals", days(F.col("marked")).alias("found_days"), events(F.col("marked")).alias("events"))
     year, month = F.col("meta.year"), F.col("meta.month")
     bad = F.exists("events", lambda e: X.bad_moment(year, month, e["day"], e["time"]))
-    read = read.select("*", F.when(F.size("found_days") == 0, NO_DAYS).when(bad, BAD_TIME).alias("error"))
+    error = F.when(F.size("found_days") == 0, NO_DAYS).when(bad, BAD_TIME)
+    never = F.when(F.spark_partition_id() < 0, "")  # keeps filters on the error above this step; below it they would parse once more
+    read = read.select("*", F.coalesce(error, never).alias("error"))
     fine = F.col("error").isNull()
     none = lambda c: F.when(fine, F.col(c)).otherwise(F.slice(c, 1, 0)).alias(c)
     read = read.select("doc_id", "error", "meta", F.when(fine, F.col("found_totals")).alias("totals"), none("found_days"), none("events"))
