@@ -43,8 +43,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows in contiguous shards of nearly equal bytes, with their places."""
-    out = sharding.contiguous_shards(docs, SHARDS, carry=docs.columns)
+    """All rows in contiguous shards of nearly equal bytes, with their places; columns of those names give way to them."""
+    places = ("shard_bytes", "shard", "slot")
+    out = sharding.contiguous_shards(docs, SHARDS, carry=[c for c in docs.columns if c.lower() not in places])
     return out.select("row.*", F.col("size").alias("shard_bytes"), "shard", "slot")
 
 

@@ -42,11 +42,19 @@ def shared_root(spark: SparkSession) -> str:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, and it survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    root = shared_root(spark)
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)  # with the driver, as results may be read till then
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns(df: DataFrame, names: list[str] | None = None) -> list[Column]:
+    """Columns by their exact names, whatever characters these have."""
+    return [df[f"`{n.replace('`', '``')}`"] for n in names or df.columns]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -76,3 +84,16 @@ def map_rows(df: DataFrame, schema: T.StructType | str, make: Callable[[], Calla
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, target)
+
+
+def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
+    """The rows of ``df`` whose text the function that ``make`` returns in each task says yes to; all columns as they are."""
+    at = df.columns.index(text_col)
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = make()
+        for batch in batches:
+            yield batch.filter(pa.array([good(v.as_py()) for v in batch.column(at)], pa.bool_()))
+
+    return plain.mapInArrow(keep, plain.schema).toDF(*df.columns)

@@ -16,15 +16,14 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orolog.llm._shared import cut, map_rows
+from orolog.llm._shared import cut, keep_rows, map_rows
 
 WINDOW = 10
 #: Characters of benchmark text in one automaton (about 40 times that in bytes of memory).
@@ -169,14 +168,12 @@ def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``df`` in whose text no benchmark window occurs; all columns as they are."""
-    at = df.columns.index(text_col)
     for part in blocks(benchmark, item_col, item_text_col, block_chars):
         shared = df.sparkSession.sparkContext.broadcast(part)  # block_chars at most
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def make(shared=shared) -> Callable[[str | None], bool]:
             scanner = Scanner(shared.value, width)
-            for batch in batches:
-                yield batch.filter(pa.array([not scanner.scan(v.as_py())[1] for v in batch.column(at)], pa.bool_()))
+            return lambda text: not scanner.scan(text)[1]
 
-        df = df.mapInArrow(keep, df.schema)
+        df = keep_rows(df, text_col, make)
     return df

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orolog.llm._shared import map_rows
+from orolog.llm._shared import keep_rows, map_rows
 
 UNDETERMINED = "und"
 #: Expected number of labelled documents of each language that the model is fitted on (fewer where there are fewer).
@@ -262,12 +262,14 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def keep_identified(df: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose text has a language with a score of `least`; all columns as they are."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    at = df.columns.index(text_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make() -> Callable[[str | None], bool]:
         labeller = Labeller(shared.value)
-        for batch in batches:
-            mask = [x[0] != UNDETERMINED and x[1] >= least for x in (labeller.label(v.as_py()) for v in batch.column(at))]
-            yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return df.mapInArrow(keep, df.schema)
+        def good(text: str | None) -> bool:
+            lang, score, _ = labeller.label(text)
+            return lang != UNDETERMINED and score >= least
+
+        return good
+
+    return keep_rows(df, text_col, make)

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orolog.llm._shared import WORD, cut, map_rows
+from orolog.llm._shared import WORD, columns, cut, map_rows
 
 LEAF_ROWS = 2048
 FAN_IN = 64
@@ -161,7 +161,7 @@ def mixed(df: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str =
     whole = mix(df, seed, id_col, text_col, source_col)
     taken = whole.groupBy("doc_id", "text_crc32", "source").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     crc = F.crc32(F.coalesce(df[text_col], F.lit("")).cast("binary"))
-    keyed = df.select(F.struct(*(df[c] for c in df.columns)).alias("row"), df[id_col].cast("long").alias("__id"), crc.alias("__crc"), df[source_col].alias("__source"))
+    keyed = df.select(F.struct(*columns(df)).alias("row"), df[id_col].cast("long").alias("__id"), crc.alias("__crc"), df[source_col].alias("__source"))
     taken = cut(taken.where("copies > 0").select(F.col("doc_id").alias("t_id"), F.col("text_crc32").alias("t_crc"), F.col("source").alias("t_source"), "copies", "rows"), "mix-taken")
     if not taken.where("rows > 1").isEmpty():  # any of the rows that agree stands for all of them
         keyed = keyed.groupBy("__id", "__crc", "__source").agg(F.first("row").alias("row"))

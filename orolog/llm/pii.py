@@ -104,8 +104,15 @@ _LAST = "com net org edu gov mil int info biz io co ai app dev me tv eu us uk ca
 _AT_WORD, _DOT_WORD = r"(?:at|arroba|chez)", r"(?:dot|punkt|point|punto)"
 _OPEN, _CLOSE = r"[(\[{<]\x20?", r"\x20?[)\]}>]"
 _BRACKETED = re.compile(rf"\x20?{_OPEN}(?:(?P<at>{_AT_WORD}|@)|(?P<dot>{_DOT_WORD}|\.)){_CLOSE}\x20?", re.IGNORECASE)
-_SPOKEN = re.compile(rf"(?<![^\s(\[<\"'])(?P<local>[A-Za-z0-9._%+-]+)(?P<at>\x20(?:at|arroba)\x20)(?P<first>[A-Za-z0-9-]+)(?P<rest>(?:\x20(?:dot|punkt|point|punto)\x20[A-Za-z0-9-]+)*\x20(?:dot|punkt|point|punto)\x20(?:{'|'.join(_LAST.split())})(?![A-Za-z0-9-]))", re.IGNORECASE)
-_DOT_HINT = re.compile(r"\x20(?:dot|punkt|point|punto)\x20")
+_GAP, _LABEL = r"[\x20_-]", r"[A-Za-z0-9-]+?"
+_DOTTED = rf"{_GAP}(?:dot|punkt|point|punto){_GAP}"
+_SPOKEN = re.compile(
+    rf"(?<![^\s(\[<\"'])(?P<local>[A-Za-z0-9.%+]+(?:(?:[_-]|{_DOTTED})[A-Za-z0-9.%+]+)*?)(?P<at>{_GAP}(?:at|arroba){_GAP})"
+    rf"(?P<rest>{_LABEL}(?:{_DOTTED}{_LABEL})*{_DOTTED}(?:{'|'.join(_LAST.split())}))(?![A-Za-z0-9_-])",
+    re.IGNORECASE,
+)
+_SPOKEN_DOT = re.compile(_DOTTED, re.IGNORECASE)
+_DOT_HINT = re.compile(r"[\x20_-](?:dot|punkt|point|punto)[\x20_-]")
 _PLUS_WORD = re.compile(r"\bplus\x20(?=[0-9])", re.IGNORECASE)
 #: Characters on either side of a disguise that are rewritten with it; the stretch then grows to white space.
 AROUND = 96
@@ -143,8 +150,9 @@ def _signs(tape: Tape) -> None:
     tape.replace([(*m.span(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(tape.text)])
     edits: list[tuple[int, int, str]] = []
     for m in _SPOKEN.finditer(tape.text):
+        edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(tape.text, *m.span("local"))]
         edits.append((*m.span("at"), "@"))
-        edits += [(m.start("rest") + d.start(), m.start("rest") + d.end(), ".") for d in re.finditer(r"\x20\w+\x20", m["rest"])]
+        edits += [(*d.span(), ".") for d in _SPOKEN_DOT.finditer(tape.text, *m.span("rest"))]
     tape.replace(edits)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orolog.llm._shared import cut, partitions
+from orolog.llm._shared import columns, cut, partitions
 
 LAW = "bytes"
 
@@ -51,7 +51,7 @@ def contiguous_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", text
         df[id_col].alias("doc_id"),
         byte_size(df[text_col]).alias("size"),
         text_crc(df[text_col]).alias("text_crc32"),
-        *([F.struct(*(df[c] for c in carry)).alias("row")] if carry else []),
+        *([F.struct(*columns(df, carry)).alias("row")] if carry else []),
     )
     key = ["doc_id", "text_crc32", "size"]
     ordered = slim.repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orolog.llm._shared import cut, map_rows, partitions
+from orolog.llm._shared import columns, cut, map_rows, partitions
 
 BITS = 64
 BUDGET = 4
@@ -331,5 +331,5 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budg
     copies = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
     if not copies:
         return rows
-    held = rows.select(F.struct(*(rows[c] for c in rows.columns)).alias("row"), rows[id_col].alias("__id"), F.xxhash64(rows[text_col]).alias("__hash"))
+    held = rows.select(F.struct(*columns(rows)).alias("row"), rows[id_col].alias("__id"), F.xxhash64(rows[text_col]).alias("__hash"))
     return held.groupBy("__id", "__hash").agg(F.first("row").alias("row")).select("row.*")

@@ -43,6 +43,8 @@ def test_many_planted_identifiers_match_brute_force():
     [
         ("write to john.doe (at) mail [dot] example (dot) com today", "email", "john.doe (at) mail [dot] example (dot) com"),
         ("write to john at example dot com today", "email", "john at example dot com"),
+        ("write to john dot q dot doe at mail dot example dot com today", "email", "john dot q dot doe at mail dot example dot com"),
+        ("write to john_doe_AT_example_DOT_org.", "email", "john_doe_AT_example_DOT_org"),
         ("mail jоhn@exаmple.com now", "email", "jоhn@exаmple.com"),
         ("ｊohn＠example．com", "email", "ｊohn＠example．com"),
         ("call +one five five five one two three four five six seven now", "phone", "+one five five five one two three four five six seven"),
@@ -60,7 +62,7 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert added[0][1] >= shift
 
 
-@pytest.mark.parametrize("text", ["", "look at the dot on it", "one two three go", "f(at) [0] list[dot]", "Привет мир, как дела", "array[i] at 5 (dot product) x.y", "meet me at noon dot", "six seven eight nine lives"])
+@pytest.mark.parametrize("text", ["", "look at the dot on it", "one two three go", "f(at) [0] list[dot]", "Привет мир, как дела", "array[i] at 5 (dot product) x.y", "meet me at noon dot", "six seven eight nine lives", "state-of-the-art dot matrix", "a_b_at_c"])
 def test_clean_texts_have_no_spans(text):
     assert P.detect(text) == ([], [])
 

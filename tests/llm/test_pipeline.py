@@ -89,7 +89,9 @@ def test_stages_take_empty_tables_and_clashing_columns(spark, sf):
         assert stage(spark, empty, sf).count() == 0
     extra = docs.selectExpr("*", "1 as shard", "'x' as row", "2L as fp", "3 as copies", "4 as __id", "5 as node")
     for _, stage in C.STAGES[:-1]:
-        assert stage(spark, extra, sf).columns == extra.columns
+        assert stage(spark, extra.selectExpr("*", "1 as `a.b`"), sf).columns == [*extra.columns, "a.b"]
+    placed = C.shards(spark, extra, sf)
+    assert placed.columns == [*(c for c in extra.columns if c != "shard"), "shard_bytes", "shard", "slot"] and placed.where("shard > 15").isEmpty()
 
 
 def test_targets_are_reshared_above_three_times_the_source():
