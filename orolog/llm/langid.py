@@ -70,19 +70,29 @@ class Model:
 
     def __post_init__(self) -> None:
         self.alphabet = max(2, sum(len(g) == 1 for g in self.grams))
+        self.known: dict[str, tuple[float, ...]] = {}
+        self.able: dict[str, list[bool]] = {}
+
+    def logs(self, three: str) -> tuple[float, ...]:
+        """Log-probability in each language of the last of three characters after the other two; kept."""
+        none = (0,) * len(self.languages)
+        out = tuple(log((a + SMOOTH) / (b + SMOOTH * self.alphabet)) for a, b in zip(self.grams.get(three, none), self.grams.get(three[:2], none), strict=True))
+        if len(self.known) > MAX_GRAMS:
+            self.known.clear()
+        self.known[three] = out
+        return out
 
     def score(self, word: str) -> list[float]:
         """Log-probability of the word in each language; a language whose script it isn't gets the lowest of all less one a character."""
-        n = len(self.languages)
-        kind = next((s for c in word if (s := script(c))), "")
-        able = [s.get(kind, 0.0) >= SCRIPT_SHARE for s in self.scripts]
+        kind = script(word[0]) or next((k for c in word if (k := script(c))), "")
+        able = self.able.get(kind)
+        if able is None:
+            able = self.able[kind] = [s.get(kind, 0.0) >= SCRIPT_SHARE for s in self.scripts]
         if not any(able):
-            return [0.0] * n
-        padded, out, none = f" {word} ", [0.0] * n, [0] * n
-        for i in range(len(padded) - 2):
-            three, two = self.grams.get(padded[i : i + 3], none), self.grams.get(padded[i : i + 2], none)
-            for k in range(n):
-                out[k] += log((three[k] + SMOOTH) / (two[k] + SMOOTH * self.alphabet))
+            return [0.0] * len(able)
+        padded, known = f" {word} ", self.known
+        parts = [known.get(padded[i : i + 3]) or self.logs(padded[i : i + 3]) for i in range(len(word))]
+        out = list(map(sum, zip(*parts, strict=True)))
         low = min(out) - len(word)
         return [x if a else low for x, a in zip(out, able, strict=True)]
 
@@ -139,7 +149,7 @@ class Labeller:
         if at == len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-        self.letters[at] = sum(map(str.isalpha, word))
+        self.letters[at] = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         if self.letters[at]:
             self.table[at] = self.model.score(word)
         return at
@@ -147,8 +157,11 @@ class Labeller:
     def numbers(self, listed: list[str]) -> np.ndarray:
         if len(self.number) > CACHE_WORDS:
             self.forget()
-        get, add = self.number.get, self._add
-        return np.fromiter((n if (n := get(w)) is not None else add(w) for w in listed), dtype=np.int64, count=len(listed))
+        found = list(map(self.number.get, listed))
+        if None in found:
+            number, add = self.number, self._add
+            found = [number[w] if w in number else add(w) for w in listed]
+        return np.array(found, dtype=np.int64)
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, int]]]:
         """Language of most letters, its score, and the spans (first word, end, language)."""
