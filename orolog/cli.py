@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from orolog.operators import ledger, listing, timesheet
 from orolog.session import local_session
 from orolog.sinks import files as sinks
-from orolog.sources import documents, reports
+from orolog.sources import documents, folder_tree, reports
 
 LOG = logging.getLogger("orolog")
 
@@ -46,6 +46,16 @@ def parse(spark: SparkSession, source: str, out: str) -> int:
     return parsed.where("status = 'failed'").count()
 
 
+def listing_table(spark: SparkSession, path: str) -> DataFrame:
+    """A listing from Parquet, from JSON lines, or of a folder tree."""
+    if path.endswith(".parquet"):
+        return spark.read.parquet(path)
+    if path.endswith((".json", ".jsonl")):
+        return spark.read.schema(folder_tree.SCHEMA).json(path)
+    folder_tree.register(spark)
+    return spark.read.format("folder_listing").load(os.path.abspath(path))
+
+
 def catalog_scan(spark: SparkSession, table: DataFrame, root: str, out: str) -> str:
     """Write the manifest of a listing; its path."""
     employees, items, folders = listing.scan(table, root)
@@ -115,7 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--input", required=True)
     a.add_argument("--out", required=True)
     a = sub.add_parser("catalog-scan", help="a listing table to a manifest")
-    a.add_argument("--listing", required=True, help="Parquet or JSON lines: id, parent_id, name, mime_type, trashed")
+    a.add_argument("--listing", required=True, help="a folder (root: 'root'), or Parquet or JSON lines: id, parent_id, name, mime_type, trashed")
     a.add_argument("--root", required=True)
     a.add_argument("--out", default="scan")
     a = sub.add_parser("run-manifest", help="parse a manifest's files that have no result yet")
@@ -131,7 +141,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "parse":
         return 1 if parse(spark, args.input, args.out) else 0
     if args.command == "catalog-scan":
-        table = spark.read.parquet(args.listing) if args.listing.endswith(".parquet") else spark.read.schema("id string, parent_id string, name string, mime_type string, trashed boolean").json(args.listing)
+        table = listing_table(spark, args.listing)
         print(catalog_scan(spark, table, args.root, args.out))
         return 0
     if args.command == "run-manifest":

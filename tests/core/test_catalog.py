@@ -149,6 +149,21 @@ def test_scan_then_run_twice(spark, tree, tmp_path):
     assert [x["file_id"] for x in again["employees"][0]["included"]] == ["f1"] and len(again["employees"][0]["skipped"]) == 5 and again["employee_count"] == 2
 
 
+def test_folder_tree_as_a_listing(spark, tmp_path):
+    from orolog.sources import folder_tree
+
+    for name in ("Ada/2022/July.pdf", "Ada/paga/hidden.pdf", "Ada/x.ZIP", "Ada/note.doc", "Bea/.gone.pdf", "top.pdf"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    folder_tree.register(spark)
+    table = spark.read.format("folder_listing").load(str(tmp_path))
+    assert table.count() == 10
+    assert sorted(r["name"] for r in listing.children(table, "Ada").collect()) == ["2022", "note.doc", "paga", "x.ZIP"]
+    employees, items, folders = listing.scan(table, "root")
+    assert sorted(r["file_id"] for r in items.collect()) == ["Ada/2022/July.pdf", "Ada/x.ZIP"]
+    assert [r["folder_id"] for r in folders.collect()] == ["Ada/paga"] and sorted(r["employee"] for r in employees.collect()) == ["Ada", "Bea"]
+
+
 def test_tables_and_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_text(TEXT)
