@@ -96,8 +96,9 @@ def random_strings(spark: SparkSession, n: int = SAMPLE_STRINGS) -> DataFrame:
 
 def ordinary_identifiers(docs: DataFrame, n_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Labelled identifiers: words of a bounded sample of documents as they stand and joined in the usual styles."""
-    chosen = docs.select(docs[id_col].alias("i")).where("i is not null").orderBy(F.xxhash64("i"), "i").limit(n_docs).collect()  # n_docs ids
-    words = docs.where(docs[id_col].isin([r["i"] for r in chosen])).select(F.regexp_extract_all(docs[text_col], F.lit("[A-Za-z]{2,}"), F.lit(0)).alias("w"))
+    chosen = docs.select(docs[id_col].alias("i")).where("i is not null").distinct().orderBy(F.xxhash64("i"), "i").limit(n_docs).collect()  # n_docs ids
+    texts = docs.where(docs[id_col].isin([r["i"] for r in chosen])).groupBy(docs[id_col]).agg(F.min(docs[text_col]).alias("text"))  # of rows of one id one text
+    words = texts.select(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0)).alias("w"))
     pair = words.select(F.explode(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, greatest(size(w), 1))").alias("b"))).alias("p")).where("p.a is not null and p.b is not null")
     a, b = F.col("p.a"), F.col("p.b")
     styles = F.array(a, F.concat(a, F.lit("_"), b), F.concat(a, F.initcap(b)), F.concat(F.upper(a), F.lit("_"), F.upper(b)), F.concat(a, F.lit("-"), b, F.lit("-2")), F.concat(a, F.lit("/"), b, F.lit("/10")))
