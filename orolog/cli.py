@@ -20,10 +20,10 @@ LOG = logging.getLogger("orolog")
 
 
 def texts_of(spark: SparkSession, path: str) -> DataFrame:
-    """Texts of a PDF or text file, or of those right in a folder."""
+    """Texts of one file (a PDF unless it ends in .txt), or of the PDFs and texts right in a folder."""
     if path.lower().endswith(".txt"):
         return documents.text_files(spark, path, "*")
-    if path.lower().endswith(".pdf"):
+    if os.path.isfile(path):
         return documents.pdf_texts(documents.pdf_files(spark, path)).select("doc_id", "text")
     names = os.listdir(path)
     parts = []

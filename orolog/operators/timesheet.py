@@ -6,7 +6,7 @@ exchange, no sort, and no state between rows. The tables are explosions of those
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orolog.functions import exprs as X
@@ -154,6 +154,18 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+class ParseError(ValueError):
+    """A single document that can't be parsed."""
+
+
+def parse_one(spark: SparkSession, text: str | None) -> Row:
+    """The nested row of one document; where `parse_documents` gives an error this raises it."""
+    row = parse_documents(spark.createDataFrame([("document", text)], "doc_id string, text string")).first()
+    if row["error"] is not None:
+        raise ParseError(row["error"])
+    return row
+
+
 def _each(parsed: DataFrame, records: str, name: str) -> DataFrame:
     """A row for each record. An outer explode: of a plain one the optimizer makes a filter that parses everything once more."""
     return parsed.select("doc_id", "meta.year", "meta.month", F.explode_outer(records).alias(name)).where(F.col(name).isNotNull())

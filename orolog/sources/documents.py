@@ -12,9 +12,12 @@ from orolog.functions import exprs as X
 
 
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, modificationTime, length, content`` of a PDF file, or of the PDFs right in a folder."""
+    """``path, modificationTime, length, content`` of one file, whatever it is called, or of the PDFs right in a folder."""
     reader = spark.read.format("binaryFile")
-    return reader.load(path) if path.lower().endswith(".pdf") else reader.option("pathGlobFilter", "*.pdf").load(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        return reader.load(path)
+    return reader.option("pathGlobFilter", "*.pdf").load(path)
 
 
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:

@@ -128,6 +128,8 @@ def test_command_parse(spark, tmp_path, capsys):
     assert pairs[0] == sinks.PAIRS and len(pairs) == len(PAIRS) + 1 and pairs[1][5:9] == ["2022-07-01 06:45:00", "2022-07-01 14:35:00", "07:50", "Mattina"] and pairs[4][6] == ""
     report = json.loads((out / "july 22.report.json").read_text())
     assert report["meta"]["unit"] is None and report["validation"]["is_ok"] and "ore_lavorate" in json.loads((out / "july 22.totals.json").read_text())
+    (tmp_path / "no suffix").write_bytes(small_pdf(TEXT))
+    assert cli.parse(spark, str(tmp_path / "no suffix"), str(out)) == 0 and (out / "no suffix.days.csv").exists()
     assert not (out / "other.days.csv").exists() and "no day lines" in capsys.readouterr().out
 
 

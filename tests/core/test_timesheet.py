@@ -149,3 +149,10 @@ def test_row_forms_of_runs_and_pairs(spark):
     assert [r["run_id"] for r in runs] == [1, 1, 2, 2, 3, 4, 4, 5]
     plan = S.pair_events(df, ["doc"], ["t"], "kind", "t")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_one_document(spark):
+    assert len(S.parse_one(spark, TEXT)["days"]) == len(DAYS)
+    for text in (None, "", "nothing"):
+        with pytest.raises(S.ParseError, match=S.NO_DAYS):
+            S.parse_one(spark, text)
