@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,8 @@ SMALL_PAIR = 64
 STEP_PAIRS = 1 << 17
 #: Rows of subtries that a task walks at once.
 WALK_ROWS = 1 << 16
+#: Rows (id, text hash) up to which the documents that go are broadcast, so that texts stay where they are.
+BROADCAST_ROWS = 2_000_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
@@ -298,6 +300,26 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+#: Rows in order: by id with null last, then text.
+_ORDER = ("doc_id is null as none", "doc_id", "text_hash")
+
+
+def _order() -> Column:
+    return F.struct(*map(F.expr, _ORDER))
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str, budget: int) -> DataFrame:
+    """``doc_id, text_hash, fp, root, first``: first is the first row of the component, as a struct of _ORDER."""
+    docs = cut(fingerprints(df, id_col, text_col), "fingerprints")
+    distinct = cut(docs.groupBy("fp").agg(F.min(_order()).alias("first")), "distinct-fingerprints")
+    roots = components(links(distinct.select("fp"), budget))
+    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = cut(placed, "placed-fingerprints")
+    firsts = placed.groupBy("root").agg(F.min("first").alias("first"))
+    named = placed.select("fp", "root").join(firsts, "root")
+    return docs.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "first")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
     """Component of every row under links between fingerprints of `budget` or fewer differing bits.
 
@@ -307,27 +329,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     other; rows of equal text or id stay rows of their own; an empty table gives no rows. Only the named
     columns of ``df`` are read.
     """
-    docs = cut(fingerprints(df, id_col, text_col), "fingerprints")
-    distinct = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), budget))
-    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = cut(placed, "placed-fingerprints")
-    ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.select("fp", "root").join(ids, "root")
-    return docs.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    return _placed(df, id_col, text_col, budget).select("doc_id", "text_hash", "fp", "root", F.col("first.doc_id").alias("component_id"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
     """The rows of ``df`` that stand for their component: the one of smallest doc_id (null last), then text hash.
 
-    All columns stay as they are. Of rows equal in id and text one is kept.
+    All columns stay as they are. Of rows equal in id and text one is kept. The rows that go are joined by id and
+    text hash: broadcast up to BROADCAST_ROWS of them, else in an exchange of all texts.
     """
-    found = near_duplicates(df, id_col, text_col, budget)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    kept = cut(found.groupBy("root").agg(first).select("first.doc_id", "first.text_hash"), "representatives")
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    match = df[id_col].eqNullSafe(kept["__id"]) & (F.xxhash64(df[text_col]) == kept["__hash"])
-    rows = df.join(kept, match, "left_semi")
+    found = _placed(df, id_col, text_col, budget)
+    gone = cut(found.where(~_order().eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "not-kept")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    rows = df.join(gone, df[id_col].eqNullSafe(gone["__id"]) & F.xxhash64(df[text_col]).eqNullSafe(gone["__hash"]), "left_anti")
     copies = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
     if not copies:
         return rows
