@@ -104,10 +104,12 @@ _LAST = "com net org edu gov mil int info biz io co ai app dev me tv eu us uk ca
 _AT_WORD, _DOT_WORD = r"(?:at|arroba|chez)", r"(?:dot|punkt|point|punto)"
 _OPEN, _CLOSE = r"[(\[{<]\x20?", r"\x20?[)\]}>]"
 _BRACKETED = re.compile(rf"\x20?{_OPEN}(?:(?P<at>{_AT_WORD}|@)|(?P<dot>{_DOT_WORD}|\.)){_CLOSE}\x20?", re.IGNORECASE)
-_GAP, _LABEL = r"[\x20_-]", r"[A-Za-z0-9-]+?"
-_DOTTED = rf"{_GAP}(?:dot|punkt|point|punto){_GAP}"
+_GAP, _DOT_WORDS = r"[\x20_-]", "dot|punkt|point|punto"
+_DOTTED = rf"{_GAP}(?:{_DOT_WORDS}){_GAP}"
+_NO_DOT = rf"(?!(?:{_DOT_WORDS}){_GAP})"  # so that every text is read in one way only, and in linear time
+_LABEL = rf"(?>[A-Za-z0-9]+(?:-{_NO_DOT}[A-Za-z0-9]+)*)"
 _SPOKEN = re.compile(
-    rf"(?<![^\s(\[<\"'])(?P<local>[A-Za-z0-9.%+]+(?:(?:[_-]|{_DOTTED})[A-Za-z0-9.%+]+)*?)(?P<at>{_GAP}(?:at|arroba){_GAP})"
+    rf"(?<![^\s(\[<\"'])(?P<local>[A-Za-z0-9.%+]+(?:(?:[_-]{_NO_DOT}|{_DOTTED})[A-Za-z0-9.%+]+)*?)(?P<at>{_GAP}(?:at|arroba){_GAP})"
     rf"(?P<rest>{_LABEL}(?:{_DOTTED}{_LABEL})*{_DOTTED}(?:{'|'.join(_LAST.split())}))(?![A-Za-z0-9_-])",
     re.IGNORECASE,
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -67,6 +68,13 @@ def test_clean_texts_have_no_spans(text):
     assert P.detect(text) == ([], [])
 
 
+@pytest.mark.parametrize("text", ["x at " + "a-dot-" * 3000, "a-dot-" * 3000 + "at b", "a_" * 9000 + "at_b dot c", "one " * 9000, "(at) " * 5000, "a at b dot " * 3000, "+1" * 9000, "1." * 9000, "@" * 9000, "a@" * 9000])
+def test_odd_texts_take_no_time(text):
+    began = time.process_time()
+    P.detect(text + " dot  one one one")
+    assert time.process_time() - began < 3
+
+
 def test_plain_spans_stay_and_are_not_added_twice():
     text = "a@b.com and b (at) c.org and 4111111111111111"
     base, added = P.detect(text)
