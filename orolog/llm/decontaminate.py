@@ -1,13 +1,13 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised benchmark windows.
 
-Texts are normalised to lower-case words joined by single spaces (A-Z lowered; a word is a run of digits,
-ASCII letters and code points from U+0080). The windows of ten consecutive words of every benchmark item, or
-the whole item where it is shorter, make up the automaton, with a space at either end so that they match whole
-words only. Each document is scanned once; end offsets in the normalised text are mapped to word numbers, and
-word numbers to offsets of the original text.
-
-The automaton is broadcast, so its size is checked: items are taken in blocks of at most BLOCK_CHARS
-characters, and a larger benchmark is scanned block by block, each block against all documents.
+Texts are normalised to lower-case words (A-Z lowered; a word is a run of digits, ASCII letters and code points
+from U+0080). Every distinct benchmark word is numbered and written in a few digits, any other word as one sign;
+the windows of ten consecutive words of every item, or the whole item where it is shorter, make up the automaton in
+that writing, which keeps its nodes few and narrow. Each document is scanned once; places in its writing map to
+word numbers, and these to offsets of the original text.
+
+The automaton is broadcast as the texts it is built from, so their size is checked: items are taken in blocks of
+at most BLOCK_CHARS characters, and a larger benchmark is scanned block by block, each block against all documents.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Callable, Iterable
-from itertools import accumulate
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +26,10 @@ from pyspark.sql import types as T
 from orolog.llm._shared import cut, keep_rows, map_rows
 
 WINDOW = 10
-#: Characters of benchmark text in one automaton (about 40 times that in bytes of memory).
-BLOCK_CHARS = 4_000_000
+#: Characters of benchmark text in one automaton (about 500 times that in bytes of memory).
+BLOCK_CHARS = 400_000
+#: How words are written: one sign for words that no item has, else digits, of which the first has signs of its own.
+OTHER, FIRST, REST, BASE = "\x01", 0x100, 0x200, 64
 
 #: Byte table of the normalisation: A-Z to a-z, other ASCII outside words to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -39,25 +41,28 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def windows(item: str | None, width: int = WINDOW) -> set[bytes]:
-    """The windows of an item: `width` consecutive words each, or all words where it has fewer; none without words."""
-    w = words(item)
-    return {b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
-
-
 class Scanner:
     """The automaton over (item id, text) pairs; it is built where it is used and reads each text once."""
 
     def __init__(self, items: Iterable[tuple[object, str | None]], width: int = WINDOW) -> None:
         import ahocorasick
 
-        owners: dict[bytes, set[str]] = defaultdict(set)
-        for key, text in items:
-            for w in windows(text, width):
-                owners[w].add("null" if key is None else str(key))
+        listed = [("null" if key is None else str(key), words(text)) for key, text in items]
+        number: dict[bytes, int] = {}
+        for _, w in listed:
+            for x in w:
+                number.setdefault(x, len(number))
+        digits = 1
+        while BASE**digits < len(number):
+            digits += 1
+        self.writing = {x: "".join(chr((REST if k else FIRST) + n // BASE**k % BASE) for k in range(digits)) for x, n in number.items()}
+        owners: dict[str, set[str]] = defaultdict(set)
+        for who, w in listed:
+            for i in range(max(1, len(w) - width + 1) if w else 0):
+                owners["".join(map(self.writing.__getitem__, w[i : i + width]))].add(who)
         self.automaton = ahocorasick.Automaton()
-        for w, who in owners.items():
-            self.automaton.add_word(f" {w.decode('utf-8', 'surrogatepass')} ", (w.count(b" ") + 1, frozenset(who)))
+        for window, who in owners.items():
+            self.automaton.add_word(window, (len(window) // digits, frozenset(who)))
         if owners:
             self.automaton.make_automaton()
         self.empty = not owners
@@ -67,12 +72,12 @@ class Scanner:
         w = words(text)
         if self.empty or not w:
             return len(w), [], set()
-        flat = f" {b' '.join(w).decode('utf-8', 'surrogatepass')} "
-        ranges, items, starts = [], set(), None
-        for end, (n, who) in self.automaton.iter(flat):
-            if starts is None:  # offset of the space after each word
-                starts = list(accumulate((len(x.decode("utf-8", "surrogatepass")) + 1 for x in w), initial=0))
-            last = bisect_right(starts, end) - 1
+        written = list(map(self.writing.get, w, repeat(OTHER)))
+        ranges, items, ends = [], set(), None
+        for end, (n, who) in self.automaton.iter("".join(written)):
+            if ends is None:
+                ends = list(accumulate(map(len, written)))
+            last = bisect_right(ends, end) + 1
             ranges.append((last - n, last))
             items |= who
         return len(w), merged(ranges), items
@@ -111,17 +116,21 @@ def digest(items: set[str] | list[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> list[list[tuple]]:
-    """The items in blocks of a checked size. Benchmarks are read to the driver a partition at a time; an item longer than a block is a block."""
-    out: list[list[tuple]] = [[]]
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[tuple[list[tuple], bool]]:
+    """The items in blocks of a checked size, each with whether it is the last.
+
+    The benchmark comes to the driver a partition at a time and two blocks at most are held; an item longer than
+    a block is a block. An empty benchmark is one empty block.
+    """
+    block: list[tuple] = []
     size = 0
     for r in benchmark.select(benchmark[id_col].alias("i"), benchmark[text_col].alias("t")).where("t is not null").toLocalIterator():
-        if out[-1] and size + len(r["t"]) > block_chars:
-            out.append([])
-            size = 0
-        out[-1].append((r["i"], r["t"]))
+        if block and size + len(r["t"]) > block_chars:
+            yield block, False
+            block, size = [], 0
+        block.append((r["i"], r["t"]))
         size += len(r["t"])
-    return out
+    yield block, True
 
 
 def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -136,13 +145,11 @@ def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     kind = df.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL("n_words long, n_hit long, n_items long, items array<string>, ranges array<struct<first: int, end: int>>").fields])
     carried = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL("text string, items array<string>, ranges array<struct<first: int, end: int>>").fields])
-    parts = blocks(benchmark, item_col, item_text_col, block_chars)
     at = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    if len(parts) > 1:
-        at = at.select("*", F.expr("cast(array() as array<string>) items"), F.expr("cast(array() as array<struct<first: int, end: int>>) ranges"))
-    for k, part in enumerate(parts):
+    for k, (part, last) in enumerate(blocks(benchmark, item_col, item_text_col, block_chars)):
+        if k == 0 and not last:
+            at = at.select("*", F.expr("cast(array() as array<string>) items"), F.expr("cast(array() as array<struct<first: int, end: int>>) ranges"))
         shared = df.sparkSession.sparkContext.broadcast(part)  # block_chars at most
-        last = k == len(parts) - 1
 
         def make(shared=shared, last: bool = last) -> Callable[..., list[list]]:
             scanner = Scanner(shared.value, width)
@@ -168,7 +175,7 @@ def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``df`` in whose text no benchmark window occurs; all columns as they are."""
-    for part in blocks(benchmark, item_col, item_text_col, block_chars):
+    for part, last in blocks(benchmark, item_col, item_text_col, block_chars):
         shared = df.sparkSession.sparkContext.broadcast(part)  # block_chars at most
 
         def make(shared=shared) -> Callable[[str | None], bool]:
@@ -176,4 +183,6 @@ def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", it
             return lambda text: not scanner.scan(text)[1]
 
         df = keep_rows(df, text_col, make)
+        if not last:
+            df = cut(df, "clean-block")
     return df

