@@ -1,0 +1,196 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash buckets propose pairs, the exact similarity decides.
+
+Texts of one shingle set are one member from the start. A member falls into a bucket for each of BANDS bands of ROWS
+minima; two members of similarity s share a bucket with probability 1 - (1 - s**ROWS)**BANDS. Pairs are compared in
+two rounds. The first compares the members of a bucket, in STAR_BANDS of the bands, with one of them that a hash
+picks, so that a large group of near copies costs its size and not its square. The second compares every pair of
+a bucket that the first has not put into one component, so that no proposed pair is left out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orolog.llm import simhash
+from orolog.llm._shared import cut, map_rows, partitions
+
+WIDTH = 5
+#: Similarity from which two texts are near copies, in tenths.
+LEAST_TENTHS = 8
+BANDS, ROWS = 24, 4
+#: Bands whose buckets the first round compares with one member.
+STAR_BANDS = 6
+SEED = 42
+#: Pairs of one member that are compared in one place; more are spread.
+SPREAD_ROWS = 256
+#: Pairs handed on at once.
+STEP_PAIRS = 1 << 16
+
+
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of a text, A-Z lowered; of a text with fewer words, the hash of all; none for a text without words."""
+    import xxhash
+
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    if len(words) <= width:
+        return np.array([digest(join(words), SEED)], dtype="<u8")
+    return np.unique(np.fromiter((digest(join(r), SEED) for r in zip(*(words[i:] for i in range(width)), strict=False)), dtype="<u8", count=len(words) - width + 1))
+
+
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    r = np.random.default_rng(SEED)
+    n = BANDS * ROWS
+    return r.integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1), r.integers(0, 2**64, n, dtype=np.uint64)
+
+
+def buckets(hashes: np.ndarray) -> np.ndarray:
+    """One bucket number for each band, from the minima of mixed hashes."""
+    a, b = _MIXERS
+    least = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(hashes), 4096):
+        x = hashes[at : at + 4096, None] * a + b
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        least = np.minimum(least, x.min(0))
+    out = np.zeros(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        out = (out ^ row) * np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+_MIXERS = _mixers()
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of hashes have a similarity of LEAST_TENTHS tenths."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 10 * both >= LEAST_TENTHS * (len(a) + len(b) - both)
+
+
+def members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text_hash, fp, n, hashes, buckets`` of every row; fp is a hash of the shingle set, n its size."""
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("text_hash long, fp long, n long, hashes binary, buckets array<long>").fields])
+
+    def make() -> Callable[..., list[list]]:
+        import xxhash
+
+        def step(ids: list, hashes: list, texts: list) -> list[list]:
+            sets = [shingles(t) for t in texts]
+            packed = [s.tobytes() for s in sets]
+            fps = [simhash.signed(xxhash.xxh64_intdigest(p, SEED)) for p in packed]
+            return [ids, hashes, fps, [len(s) for s in sets], packed, [buckets(s).view(np.int64).tolist() if len(s) else [] for s in sets]]
+
+        return step
+
+    return map_rows(df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("text_hash"), df[text_col].alias("text")), schema, make)
+
+
+def _proposed(star: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (band, bucket, rank, fp, n, root), ordered, to pairs (a, spread, b): of the first member with all others, or of all members with different roots."""
+
+    def fits(n: int, others: np.ndarray) -> np.ndarray:
+        return 10 * np.minimum(n, others) >= LEAST_TENTHS * np.maximum(n, others)
+
+    def pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        fp, n, root = group[:, 3], group[:, 4], group[:, 5]
+        if star:
+            near = np.flatnonzero(fits(n[0], n[1:])) + 1
+            yield np.full(len(near), fp[0]), np.arange(len(near)) // SPREAD_ROWS, fp[near]
+            return
+        if (root == root[0]).all():
+            return
+        _, at, size = np.unique(root, return_inverse=True, return_counts=True)
+        order = np.argsort(size[at], kind="stable")  # members of small components against the rest
+        fp, n, root = fp[order], n[order], root[order]
+        for i in range(len(fp) - 1):
+            if (root[i:] == root[i]).all():
+                break
+            near = np.flatnonzero(fits(n[i], n[i + 1 :]) & (root[i + 1 :] != root[i])) + i + 1
+            yield np.full(len(near), fp[i]), np.arange(len(near)) // SPREAD_ROWS, fp[near]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            a, s, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(np.where(a < b, a, b)), pa.array(s), pa.array(np.where(a < b, b, a))], names=["a", "spread", "b"])
+
+        rest = np.zeros((0, 6), dtype=np.int64)
+        for batch in (*batches, None):
+            if batch is None:
+                done, rows = len(rest), rest
+            else:
+                rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
+                new = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+                done = int(np.flatnonzero(new)[-1]) + 1 if new.any() else 0
+            rows, rest = rows[:done], rows[done:]
+            cuts = [0, *(np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1).tolist(), len(rows)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                for p in pairs(rows[x:y]) if y - x > 1 else ():
+                    found.append(p)
+                    size += len(p[0])
+                    if size >= STEP_PAIRS:
+                        yield out()
+                        found, size = [], 0
+        if found:
+            yield out()
+
+    return run
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets are similar."""
+    # a member with many pairs is sent to several places, as often as its pairs are spread
+    left = pairs.select("a", "spread").distinct().join(sets.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a")
+    right = pairs.join(sets.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = ([np.frombuffer(v.as_buffer(), dtype="<u8") for v in batch.column(k)] for k in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_()))
+
+    return right.join(left, ["a", "spread"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between members ``fp, n, hashes, buckets`` that join all similar pairs of a bucket."""
+    spark = distinct.sparkSession
+    spread = distinct.select("fp", "n", F.posexplode("buckets").alias("band", "bucket"))
+    crowded = spread.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1")
+    shared = cut(spread.join(crowded.drop("c"), ["band", "bucket"]).select("band", "bucket", F.xxhash64("fp", "band").alias("rank"), "fp", "n"), "jaccard-buckets")
+    sets = cut(distinct.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", "hashes"), "jaccard-sets")
+    order = ["band", "bucket", "rank", "fp"]
+
+    def propose(rows: DataFrame, star: bool) -> DataFrame:
+        dealt = rows.repartition(partitions(spark), "band", "bucket").sortWithinPartitions(*order)
+        return dealt.select(*order, "n", "root").mapInArrow(_proposed(star), "a long, spread long, b long").groupBy("a", "b").agg(F.min("spread").alias("spread"))
+
+    first = cut(_alike(propose(shared.where(F.col("band") < STAR_BANDS).withColumn("root", F.col("fp")), True), sets), "jaccard-links")
+    roots = cut(simhash.components(first), "jaccard-roots")
+    rooted = shared.join(roots, shared["fp"] == roots["node"], "left").select(*order, "n", F.coalesce("root", "fp").alias("root"))
+    second = _alike(propose(rooted, False), sets)
+    return cut(first.unionByName(second), "jaccard-links-all")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stand for their component of near copies, chosen and returned as by simhash.keep_one.
+
+    Two rows are linked if their sets of WIDTH-word shingles have a similarity of LEAST_TENTHS tenths. Null and empty
+    texts and texts without words are copies of each other.
+    """
+    every = cut(members(df, id_col, text_col), "jaccard-members")
+    # equal fp, equal set: whichever row's set is taken
+    one = cut(every.groupBy("fp").agg(F.min(simhash.order()).alias("first"), *(F.first(c).alias(c) for c in ("n", "hashes", "buckets"))), "jaccard-distinct")
+    roots = simhash.components(links(one))
+    return simhash.kept(df, simhash.placed(every.select("doc_id", "text_hash", "fp"), one.select("fp", "first"), roots), id_col, text_col)

@@ -304,20 +304,22 @@ def components(edges: DataFrame) -> DataFrame:
 _ORDER = ("doc_id is null as none", "doc_id", "text_hash")
 
 
-def _order() -> Column:
+def order() -> Column:
     return F.struct(*map(F.expr, _ORDER))
 
 
-def _placed(df: DataFrame, id_col: str, text_col: str, budget: int) -> DataFrame:
+def placed(docs: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:
     """``doc_id, text_hash, fp, root, first``: first is the first row of the component, as a struct of _ORDER."""
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = cut(named, "placed-fingerprints")
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
+    return docs.join(named.select("fp", "root").join(firsts, "root"), "fp").select("doc_id", "text_hash", "fp", "root", "first")
+
+
+def _placed(df: DataFrame, id_col: str, text_col: str, budget: int) -> DataFrame:
     docs = cut(fingerprints(df, id_col, text_col), "fingerprints")
-    distinct = cut(docs.groupBy("fp").agg(F.min(_order()).alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct.select("fp"), budget))
-    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = cut(placed, "placed-fingerprints")
-    firsts = placed.groupBy("root").agg(F.min("first").alias("first"))
-    named = placed.select("fp", "root").join(firsts, "root")
-    return docs.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "first")
+    distinct = cut(docs.groupBy("fp").agg(F.min(order()).alias("first")), "distinct-fingerprints")
+    return placed(docs, distinct, components(links(distinct.select("fp"), budget)))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
@@ -338,8 +340,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", budg
     All columns stay as they are. Of rows equal in id and text one is kept. The rows that go are joined by id and
     text hash: broadcast up to BROADCAST_ROWS of them, else in an exchange of all texts.
     """
-    found = _placed(df, id_col, text_col, budget)
-    gone = cut(found.where(~_order().eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "not-kept")
+    return kept(df, _placed(df, id_col, text_col, budget), id_col, text_col)
+
+
+def kept(df: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` that are the first of their component in what `placed` returns."""
+    gone = cut(found.where(~order().eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "not-kept")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
     rows = df.join(gone, df[id_col].eqNullSafe(gone["__id"]) & F.xxhash64(df[text_col]).eqNullSafe(gone["__hash"]), "left_anti")
