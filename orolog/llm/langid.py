@@ -5,8 +5,9 @@ counts. A word's score in a language is the log-probability of its characters; l
 word's script are no candidates for it. Viterbi with a switching penalty labels the words of a text, so that a
 mixed text falls into spans of one language each.
 
-Texts of one language are the common case: if no other language gains more than the penalty over any stretch
-of words, no switch can pay, and the running sums show that without the word-by-word programme.
+Texts of one language are the common case: if the two other languages that gain most over any stretch of words
+gain no more than the penalty together, no switch can pay (a path from one to the other has two gains for one
+penalty), and the running sums show that without the word-by-word programme.
 """
 
 from __future__ import annotations
@@ -106,7 +107,7 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int,
     best = int(np.argmax(total))
     gain = np.cumsum(scores - scores[:, [best]], axis=0)
     low = np.minimum(np.minimum.accumulate(np.vstack([np.zeros((1, width)), gain[:-1]]), axis=0), 0)
-    if (gain - low).max() <= switch:
+    if np.sort((gain - low).max(0))[-2:].clip(0).sum() <= switch:
         return [(0, n, best)]
     back = np.empty((n, width), dtype=np.int32)
     at = scores[0].tolist()

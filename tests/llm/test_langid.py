@@ -41,6 +41,17 @@ def test_viterbi_is_the_best_labelling():
             assert len(path) == n and cost(path) == pytest.approx(cost(best))
 
 
+def test_viterbi_sees_two_gains_for_one_penalty():
+    s = np.array([[0.0, -10.0, -30.0], [-30.0, -10.0, 0.0]])
+    assert L.viterbi(s, 12.0) == [(0, 1, 0), (1, 2, 2)]
+    r = np.random.default_rng(8)
+    for _ in range(400):
+        s = r.normal(0, 6, (4, 3)) + np.array([0.0, 3.0, 0.0])
+        cost = lambda path: s[range(4), path].sum() - 12.0 * sum(a != b for a, b in zip(path, path[1:], strict=False))
+        got = [k for a, b, k in L.viterbi(s) for _ in range(b - a)]
+        assert cost(got) == pytest.approx(max(map(cost, product(range(3), repeat=4))))
+
+
 def test_held_out_texts(model):
     r, labeller = random.Random(9), L.Labeller(model)
     for lang in TEXTS:
