@@ -138,21 +138,25 @@ class Labeller:
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.read = 0.0  # share of the letters of the last text that are in words of a script that some language uses
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.model.languages)))
         self.letters = np.zeros(1024, dtype=np.int64)
+        self.readable = np.zeros(1024, dtype=np.int64)  # letters, if some language uses the word's script
 
     def _add(self, word: str) -> int:
         at = self.number[word] = len(self.number)
         if at == len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+            self.readable = np.concatenate([self.readable, np.zeros_like(self.readable)])
         self.letters[at] = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         if self.letters[at]:
             self.table[at] = self.model.score(word)
+            self.readable[at] = self.letters[at] * any(self.table[at])  # only a script that no language uses scores zeros
         return at
 
     def numbers(self, listed: list[str]) -> np.ndarray:
@@ -171,6 +175,7 @@ class Labeller:
         letters = self.letters[ids]
         if not letters.sum() or not self.model.languages:
             return UNDETERMINED, 0.0, []
+        self.read = float(self.readable[ids].sum() / letters.sum())
         scores = self.table[ids]
         spans = viterbi(scores)
         share = [0] * len(self.model.languages)
@@ -274,15 +279,18 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(df: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text has a language with a score of `least`; all columns as they are."""
+    """The rows of ``df`` whose text has a language with a score of `least`; all columns as they are.
+
+    Letters of scripts that no language of the model uses belong to none: the score counts for the share of the others.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[str | None], bool]:
         labeller = Labeller(shared.value)
 
         def good(text: str | None) -> bool:
-            lang, score, _ = labeller.label(text)
-            return lang != UNDETERMINED and score >= least
+            lang, score, _ = labeller.label(text)  # sets labeller.read
+            return lang != UNDETERMINED and score >= least and score * labeller.read >= least
 
         return good
 

@@ -84,3 +84,5 @@ def test_rows(spark, model):
     nothing = L.train(spark.createDataFrame([], "doc_id long, lang string, text string"))
     assert {r["lang_pred"] for r in L.identify(df, nothing).collect()} == {"und"}
     assert L.keep_identified(df, model, 0.6).count() == 1
+    russian = L.Model(["ru"], {}, [{"Cyrillic": 1.0}])
+    assert L.keep_identified(df, russian, 0.35).count() == 0

@@ -72,6 +72,15 @@ def test_every_stage_on_its_own_input(spark, sf):
         assert sorted(r["slot"] for r in placed if r["shard"] == s) == list(range(sum(r["shard"] == s for r in placed)))
 
 
+def test_texts_in_scripts_of_no_language_go(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    foreign = ["漢字 漢字 文書 " * 20, "Η γλώσσα του κειμένου αυτού δεν είναι γνωστή", "ภาษา ไทย เป็น ภาษา", "漢字文書漢字文書漢字文書 " * 9 + "the house"]
+    kept = ["der fluss und mit haus morgen the river house people morning under", "the house with people never walked under 漢字"]
+    planted = spark.createDataFrame([(3000 + i, t, None, "s0", len(t)) for i, t in enumerate(foreign + kept)], COLUMNS)
+    got = {r["doc_id"] for r in C.language(spark, docs.unionByName(planted), sf).where("doc_id >= 3000").collect()}
+    assert got == {3004, 3005}
+
+
 def test_run_and_stage_columns(spark, sf):
     columns = spark.read.parquet(f"{sf}/documents.parquet").columns
     docs = spark.read.parquet(f"{sf}/documents.parquet")
