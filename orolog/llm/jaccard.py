@@ -78,17 +78,16 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, text_hash, fp, n, hashes, buckets`` of every row; fp is a hash of the shingle set, n its size."""
-    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("text_hash long, fp long, n long, hashes binary, buckets array<long>").fields])
+    """``doc_id, text_hash, fp, n, buckets`` of every row; fp is a hash of the shingle set, n its size."""
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("text_hash long, fp long, n long, buckets array<long>").fields])
 
     def make() -> Callable[..., list[list]]:
         import xxhash
 
         def step(ids: list, hashes: list, texts: list) -> list[list]:
             sets = [shingles(t) for t in texts]
-            packed = [s.tobytes() for s in sets]
-            fps = [simhash.signed(xxhash.xxh64_intdigest(p, SEED)) for p in packed]
-            return [ids, hashes, fps, [len(s) for s in sets], packed, [buckets(s).view(np.int64).tolist() if len(s) else [] for s in sets]]
+            fps = [simhash.signed(xxhash.xxh64_intdigest(s.tobytes(), SEED)) for s in sets]
+            return [ids, hashes, fps, [len(s) for s in sets], [buckets(s).view(np.int64).tolist() if len(s) else [] for s in sets]]
 
         return step
 
@@ -163,13 +162,27 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return right.join(left, ["a", "spread"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between members ``fp, n, hashes, buckets`` that join all similar pairs of a bucket."""
+def _sets(df: DataFrame, distinct: DataFrame, shared: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``fp, hashes`` of the members that share a bucket, worked out again from the text of their first row: sets take as much room as texts."""
+    wanted = cut(distinct.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")), "jaccard-wanted")
+    if wanted.count() <= simhash.BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    texts = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
+    texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["__id"]) & F.xxhash64(texts["text"]).eqNullSafe(wanted["__hash"])).select("fp", "text")
+
+    def make() -> Callable[..., list[list]]:
+        return lambda fps, listed: [fps, [shingles(t).tobytes() for t in listed]]
+
+    return cut(map_rows(texts, "fp long, hashes binary", make).groupBy("fp").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
+
+
+def links(df: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links ``(a, b)`` between members ``fp, first, n, buckets`` of ``df`` that join all similar pairs of a bucket."""
     spark = distinct.sparkSession
     spread = distinct.select("fp", "n", F.posexplode("buckets").alias("band", "bucket"))
     crowded = spread.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1")
     shared = cut(spread.join(crowded.drop("c"), ["band", "bucket"]).select("band", "bucket", F.xxhash64("fp", "band").alias("rank"), "fp", "n"), "jaccard-buckets")
-    sets = cut(distinct.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", "hashes"), "jaccard-sets")
+    sets = _sets(df, distinct, shared, id_col, text_col)
     order = ["band", "bucket", "rank", "fp"]
 
     def propose(rows: DataFrame, star: bool) -> DataFrame:
@@ -191,6 +204,6 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     every = cut(members(df, id_col, text_col), "jaccard-members")
     # equal fp, equal set: whichever row's set is taken
-    one = cut(every.groupBy("fp").agg(F.min(simhash.order()).alias("first"), *(F.first(c).alias(c) for c in ("n", "hashes", "buckets"))), "jaccard-distinct")
-    roots = simhash.components(links(one))
+    one = cut(every.groupBy("fp").agg(F.min(simhash.order()).alias("first"), *(F.first(c).alias(c) for c in ("n", "buckets"))), "jaccard-distinct")
+    roots = simhash.components(links(df, one, id_col, text_col))
     return simhash.kept(df, simhash.placed(every.select("doc_id", "text_hash", "fp"), one.select("fp", "first"), roots), id_col, text_col)
