@@ -54,6 +54,15 @@ def test_many_planted_identifiers_match_brute_force():
         ("card 4111\u200B1111\u200B1111\u200B1111 ok", "card", "4111\u200B1111\u200B1111\u200B1111"),
         ("host １９２.１６８.１.１ up", "ip", "１９２.１６８.１.１"),
         ("host 192 (dot) 168 (dot) 1 (dot) 1 up", "ip", "192 (dot) 168 (dot) 1 (dot) 1"),
+        ("host 192 dot 168 dot 1 dot 10 up", "ip", "192 dot 168 dot 1 dot 10"),
+        ("host one nine two dot one six eight dot one dot one zero up", "ip", "one nine two dot one six eight dot one dot one zero"),
+        ("mail john [at] example dot com now", "email", "john [at] example dot com"),
+        ("mail john@example dot com now", "email", "john@example dot com"),
+        ("mail john at mail.example dot com now", "email", "john at mail.example dot com"),
+        ("mail john at example  dot  com now", "email", "john at example  dot  com"),
+        ("mail john at example dot online now", "email", "john at example dot online"),
+        ("mail john (at) example.museum now", "email", "john (at) example.museum"),
+        ("mail jоhn at exаmple dot com now", "email", "jоhn at exаmple dot com"),
     ],
 )
 def test_disguises_map_back_to_the_source(text, kind, source):
@@ -63,7 +72,7 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert added[0][1] >= shift
 
 
-@pytest.mark.parametrize("text", ["", "look at the dot on it", "one two three go", "f(at) [0] list[dot]", "Привет мир, как дела", "array[i] at 5 (dot product) x.y", "meet me at noon dot", "six seven eight nine lives", "state-of-the-art dot matrix", "a_b_at_c"])
+@pytest.mark.parametrize("text", ["", "look at the dot on it", "one two three go", "f(at) [0] list[dot]", "Привет мир, как дела", "array[i] at 5 (dot product) x.y", "meet me at noon dot", "six seven eight nine lives", "state-of-the-art dot matrix", "a_b_at_c", "see us at example.com", "look at the dot on it", "a dot b dot c dot d", "version 1 dot 2 dot 3", "they met at noon.then left dot"])
 def test_clean_texts_have_no_spans(text):
     assert P.detect(text) == ([], [])
 
@@ -75,6 +84,16 @@ def test_odd_texts_take_no_time(text):
     assert time.process_time() - began < 3
 
 
+@pytest.mark.parametrize("text", ["7" * 10**6, "7." * 400_000, "a dot " * 100_000, "one two " * 100_000, "one dot " * 100_000, "a-dot-" * 100_000, "a at b dot com " * 40_000, "ａ@b.c " * 40_000, "а" * 300_000, "1 2-" * 250_000, "a@b.com " * 100_000, "(at)x" * 100_000])
+def test_long_odd_texts_take_linear_time(text):
+    took = []
+    for part in (text[: len(text) // 4], text):
+        began = time.process_time()
+        P.detect(part)
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 1
+
+
 def test_plain_spans_stay_and_are_not_added_twice():
     text = "a@b.com and b (at) c.org and 4111111111111111"
     base, added = P.detect(text)
@@ -83,6 +102,13 @@ def test_plain_spans_stay_and_are_not_added_twice():
     assert P.masked(text, base + added) == "<email> and <email> and <card>"
 
 
+def test_a_span_may_hold_what_the_plain_text_shows_of_it():
+    text = "mail mar\u200By.k@example.com now"
+    base, added = P.detect(text)
+    assert P.written(base) == "email:9:24" and P.written(added) == "email:5:24"
+    assert P.masked(text, base + added) == "mail <email> now"
+
+
 def test_rows(spark):
     rows = [(1, None, "x"), (1, None, "x"), (None, "a@b.com", "y"), (3, "", "z"), (4, "w " * 60000 + "a@b.com", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
