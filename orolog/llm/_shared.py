@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,3 +99,45 @@ def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[str | N
             yield batch.filter(pa.array([good(v.as_py()) for v in batch.column(at)], pa.bool_()))
 
     return plain.mapInArrow(keep, plain.schema).toDF(*df.columns)
+
+
+def running_sums(df: DataFrame, order: list[str | Column], sums: dict[str, str], place: str, label: str = "running-sums") -> DataFrame:
+    """``df`` with sums of whole-numbered columns over all rows before each in `order`, and its place among all rows.
+
+    A range exchange puts rows in order; each task writes the sums within its own partition, and the totals of the
+    partitions, one row each, make them global. Rows equal in all of `order` should end it with a tie-breaking column, so
+    that no number of them meets in one task.
+    """
+    spark = df.sparkSession
+    ordered = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    added = ["__part", *sums, place]
+    out = T.StructType([*df.schema.fields, *(T.StructField(n, T.LongType()) for n in added)])
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow, at = to_arrow_schema(out), [df.columns.index(c) for c in sums.values()]
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, n = TaskContext.get().partitionId(), [0] * len(at), 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            more = [pa.array(np.full(b.num_rows, part, np.int64))]
+            for k, i in enumerate(at):
+                value = b.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
+                ends = np.cumsum(value) + before[k]
+                more.append(pa.array(ends - value))
+                before[k] = int(ends[-1])
+            more.append(pa.array(np.arange(n, n + b.num_rows, dtype=np.int64)))
+            n += b.num_rows
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(b.columns, arrow, strict=False)), *more], schema=arrow)
+
+    local = cut(ordered.mapInArrow(running, out), label)
+    totals = local.groupBy("__part").agg(*(F.sum(c).alias(n) for n, c in sums.items()), F.count("*").alias(place)).orderBy("__part").collect()  # one row for each partition
+    offsets, base = [], [0] * (len(sums) + 1)
+    for t in totals:
+        offsets.append((t["__part"], *base))
+        base = [x + t[n] for x, n in zip(base, (*sums, place), strict=True)]
+    names = [f"__base{k}" for k in range(len(base))]
+    bases = spark.createDataFrame(offsets, ", ".join(f"{n} long" for n in ("__part", *names)))
+    joined = local.join(F.broadcast(bases), "__part")  # as many rows as partitions
+    return joined.select(*columns(joined, df.columns), *((joined[n] + joined[b]).alias(n) for n, b in zip((*sums, place), names, strict=True)))

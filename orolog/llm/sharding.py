@@ -4,23 +4,17 @@ Rows are put into one global order (doc_id, text checksum, size; nulls first) by
 slim columns only. Each task writes its running sums within its own partition; the totals of the partitions,
 one row each, turn them into global prefix sums. A row goes to the shard in whose equal slice of all bytes
 its middle lies, so that shards are contiguous in the global order and differ by about one document.
-No group of rows ever meets in one task: the exchange cuts by rank, and rows equal in all three columns
-are interchangeable.
+No group of rows ever meets in one task: rows equal in all three columns are interchangeable, and a last key, the
+place where a row was read, lets the exchange cut between them. It has to be the same when a task runs again, so
+``df`` is read from files, as every stage of the pipeline is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from orolog.llm._shared import columns, cut, partitions
+from orolog.llm._shared import columns, running_sums
 
 LAW = "bytes"
 
@@ -46,40 +40,17 @@ def contiguous_shards(df: DataFrame, n_shards: int, id_col: str = "doc_id", text
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    spark = df.sparkSession
     slim = df.select(
         df[id_col].alias("doc_id"),
         byte_size(df[text_col]).alias("size"),
         text_crc(df[text_col]).alias("text_crc32"),
         *([F.struct(*columns(df, carry)).alias("row")] if carry else []),
     )
-    key = ["doc_id", "text_crc32", "size"]
-    ordered = slim.repartitionByRange(partitions(spark), *key).sortWithinPartitions(*key)
-    out = T.StructType([*slim.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("bytes_before", T.LongType()), T.StructField("rows_before", T.LongType())])
-    arrow = to_arrow_schema(out)
-
-    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n_bytes, n_rows = TaskContext.get().partitionId(), 0, 0
-        for b in batches:
-            size = b.column(1).to_numpy()
-            ends = np.cumsum(size) + n_bytes
-            sums = [pa.array(np.full(len(size), part, np.int32)), pa.array(ends - size), pa.array(np.arange(n_rows, n_rows + len(size)))]
-            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(b.columns, arrow, strict=False)), *sums], schema=arrow)
-            if len(size):
-                n_bytes, n_rows = int(ends[-1]), n_rows + len(size)
-
-    local = cut(ordered.mapInArrow(running, out), "shard-sums")
-    totals = local.groupBy("part").agg(F.sum("size").alias("b"), F.count("*").alias("n")).orderBy("part").collect()  # one row for each partition
-    offsets, all_bytes, all_rows = [], 0, 0
-    for t in totals:
-        offsets.append((t["part"], all_bytes, all_rows))
-        all_bytes, all_rows = all_bytes + t["b"], all_rows + t["n"]
-    bases = spark.createDataFrame(offsets, "part int, byte_base long, row_base long")
-    placed = local.join(F.broadcast(bases), "part").select(  # as many rows as partitions
-        *slim.columns,
-        F.expr(f"cast(least({n_shards - 1}, ((2 * (bytes_before + byte_base) + size) * {n_shards}L) div {max(1, 2 * all_bytes)}L) as int)").alias("shard"),
-        (F.col("rows_before") + F.col("row_base")).alias("rank"),
-    )
+    slim = slim.withColumn("tie", F.monotonically_increasing_id())  # of rows that are equal: else all of them would meet in one task
+    ordered = running_sums(slim, ["doc_id", "text_crc32", "size", "tie"], {"bytes_before": "size"}, "rank", "shard-sums")
+    total = ordered.agg(F.max(F.col("bytes_before") + F.col("size")).alias("bytes")).first()["bytes"] or 1
+    shard = F.expr(f"cast(least({n_shards - 1}, ((2 * bytes_before + size) * {n_shards}L) div {2 * total}L) as int)")
+    placed = ordered.select(*(c for c in slim.columns if c != "tie"), shard.alias("shard"), "rank")
     firsts = {r["shard"]: r["first"] for r in placed.groupBy("shard").agg(F.min("rank").alias("first")).collect()}  # one row for each shard
     starts = F.array(*(F.lit(int(firsts.get(s, 0))) for s in range(n_shards)))
     return placed.withColumn("slot", (F.col("rank") - F.element_at(starts, F.col("shard") + 1)).cast("long")).drop("rank")

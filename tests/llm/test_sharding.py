@@ -5,8 +5,10 @@ from __future__ import annotations
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from orolog.llm import sharding
+from orolog.llm._shared import partitions
 
 
 def rows(n: int) -> list[tuple]:
@@ -37,3 +39,22 @@ def test_carried_columns_and_empty_table(spark):
     assert sharding.contiguous_shards(df.limit(0), 4).count() == 0
     with pytest.raises(ValueError, match="positive"):
         sharding.contiguous_shards(df, 0)
+
+
+def test_equal_rows_are_spread_over_tasks(spark, tmp_path):
+    n = 100_000
+    docs = spark.range(n, numPartitions=8).selectExpr("cast(null as string) doc_id", "'hot' text").unionByName(spark.range(20_000).selectExpr("cast(id as string) doc_id", "repeat('x', int(id % 50)) text"))
+    docs.write.parquet(str(tmp_path / "documents"))
+    got = sharding.contiguous_shards(spark.read.parquet(str(tmp_path / "documents")), 16)
+    rows = got.groupBy("shard").agg({"size": "sum", "slot": "max", "doc_id": "count"}).collect()
+    assert got.count() == n + 20_000 and len(rows) == 16
+    sizes = [r["sum(size)"] for r in rows]
+    assert max(sizes) - min(sizes) <= 2 * 51
+    read = [r["count"] for r in got.groupBy(F.input_file_name().alias("p")).count().collect()]
+    assert max(read) < 1.5 * (n + 20_000) / partitions(spark)  # the exchange dealt the equal rows out
+
+
+def test_one_very_long_text(spark):
+    df = spark.createDataFrame([("b", "x" * 3_000_000), ("a", "y"), ("c", None), ("c", None)], "doc_id string, text string")
+    got = sorted((r["doc_id"], r["size"], r["shard"], r["slot"]) for r in sharding.contiguous_shards(df, 4).collect())
+    assert got == [("a", 2, 0, 0), ("b", 3_000_001, 2, 0), ("c", 1, 3, 0), ("c", 1, 3, 1)]
