@@ -67,3 +67,114 @@ def test_reruns_agree_however_rows_are_dealt(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert M.mix(df).count() == 0 and M.mixed(df).count() == 0
+
+
+def brute_leaf(rows: list[tuple], seed: int, node: int) -> list[tuple]:
+    """(row, 0, 1 or the one fraction left) of one node by a plain loop; a row is (doc, hash_a, hash_b, size, tie, p)."""
+    out, held = [], None
+    for r in sorted(rows, key=lambda r: (-r[3], r[4], r[0], r[1], r[2])):
+        p = r[5]
+        if r[3] <= 0 or p < 1e-12 or p > 1 - 1e-12:
+            out.append((r, int(p > 0.5 and not 1e-12 < p < 1 - 1e-12)))
+            continue
+        if held is None:
+            held = r
+            continue
+        a, b, u = held[3], r[3], M._draw(seed, *held[:3], *r[:3], node)
+        mass, q = held[5] * a, p * b
+        # mass moves to the first or to the second, as far as it goes, by odds that keep both means
+        give, take = min((1 - held[5]) * a, q), min(mass, (1 - p) * b)
+        first = mass + give if u * (give + take) < take else mass - take
+        pair = ((held, first / a), (r, (mass + q - first) / b))
+        held = None
+        for row, x in pair:
+            if abs(x - round(x)) < 1e-9:
+                out.append((row, round(x)))
+            else:
+                held = (*row[:5], x)
+    return out + ([(held, held[5])] if held else [])
+
+
+def test_leaves_and_tree_match_brute_force(spark):
+    r = random.Random(8)
+    rows = [(f"d{i}", r.getrandbits(62), i, 0, r.choice([0, 3, 7, 40, 300]), 1, r.getrandbits(40), r.randrange(4), 0, r.choice([0.0, 0.25, 0.7, 0.999])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id string, " + M.NODE + ", p double")
+    got = {x["doc_id"]: (x["extra"], x["p"]) for x in M._level(df, 5).collect()}
+    left = []
+    for node in range(4):
+        for row, x in brute_leaf([(a, b, c, size, tie, p) for a, b, c, _, size, _, tie, at, _, p in rows if at == node], 5, node):
+            extra, p = got[row[0]]
+            assert (extra == x) if extra is not None else p == pytest.approx(x, abs=1e-6)
+            left += [(*row[:5], p)] if extra is None else []
+    assert 1 < len(left) <= 4
+    up = spark.createDataFrame([(a, b, c, 0, size, 1, tie, 0, 0, p) for a, b, c, size, tie, p in left], "doc_id string, " + M.NODE + ", p double")
+    top = {x["doc_id"]: (x["extra"], x["p"]) for x in M._level(up, 5).collect()}
+    for row, x in brute_leaf(left, 5, 0):
+        extra, p = top[row[0]]
+        assert (extra == x) if extra is not None else p == pytest.approx(x, abs=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "date"])
+def test_any_type_of_id_and_hot_equal_rows(spark, kind):
+    cast = {"string": "concat('id-', id)", "long": "id", "date": "date_add(date'2020-01-01', int(id))"}[kind]
+    docs = spark.range(300).selectExpr(f"{cast} doc_id", "repeat('w ', int(id % 17)) text", "concat('s', id % 4) source")
+    docs = docs.unionByName(spark.range(9000).selectExpr(f"cast(null as {kind}) doc_id", "'the same few words' text", "'s1' source"))
+    docs = docs.unionByName(spark.range(50).selectExpr(f"cast(null as {kind}) doc_id", "concat('other text ', id) text", "'s1' source"))
+    got = M.mix(docs).collect()
+    assert len(got) == 9350
+    taken: dict = defaultdict(int)
+    for r in got:
+        assert 0 <= r["copies"] <= 3
+        taken[r["source"]] += r["copies"] * r["size"]
+    for source, want in {(r["source"], r["target"]) for r in got}:
+        assert abs(taken[source] - want) <= max(0.02 * want, 1)
+    copies = [r["copies"] for r in got if r["size"] == 4 and r["doc_id"] is None]
+    assert len(copies) == 9000 and max(copies) - min(copies) <= 1
+    kept = M.mixed(docs)
+    assert kept.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    assert kept.where("text like 'other%'").select("text").distinct().count() > 1  # null ids don't make texts one
+    assert kept.where("text = 'the same few words'").count() == sum(copies)
+
+
+def test_fill_leaves_least():
+    assert M.fill(10.0, [(7, 1), (3, 3), (2, 1)]) == [1, 1, 0] and M.fill(1.4, [(5, 2), (2, 2)]) == [0, 1] and M.fill(0.4, [(1, 1)]) == [0]
+    assert M.fill(-1e-9, [(4, 1)]) == [0] and M.fill(100.0, []) == []
+
+
+def test_the_table_of_sources_is_what_plain_targets_give(spark):
+    r = random.Random(9)
+    sizes = {f"s{i:03}" if i % 9 else f"é{i}": r.choice([0, 1, 5, 300, 10**6]) for i in range(150)} | {None: 77}
+    words = spark.createDataFrame([(k, v, 1) for k, v in sizes.items()], "source string, source_size long, groups long")
+    got = {x["source"]: (x["source_no"], x["target"]) for x in M.source_table(words).collect()}
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    for i, (s, t) in enumerate(zip(order, M.targets([sizes[s] for s in order]), strict=True)):
+        assert got[s] == (i, pytest.approx(t, rel=1e-12))
+
+
+def test_many_sources_take_a_join_in_an_exchange(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string, source string, copies int")
+    want = sorted(map(repr, M.mix(df).collect()))
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 1)
+    assert sorted(map(repr, M.mix(df).collect())) == want
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_targets_are_met_on_small_tables(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    got = M.mix(docs).collect()
+    taken, least, want = defaultdict(int), {}, {}
+    for r in got:
+        taken[r["source"]] += r["copies"] * r["size"]
+        want[r["source"]] = r["target"]
+        if r["size"]:
+            least[r["source"]] = min(r["size"], least.get(r["source"], r["size"]))
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= max(0.02 * t, least[s] / 2)
+
+
+def test_targets_take_a_million_sources():
+    import time
+
+    began = time.process_time()
+    M.targets([i % 1000 for i in range(10**6)])
+    assert time.process_time() - began < 20
