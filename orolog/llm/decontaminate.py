@@ -1,33 +1,41 @@
-"""Benchmark decontamination: one Aho-Corasick automaton over normalised benchmark windows.
+"""Benchmark decontamination: one Aho-Corasick automaton over normalised benchmark texts.
 
 Texts are normalised to lower-case words (A-Z lowered; a word is a run of digits, ASCII letters and code points
-from U+0080). Every distinct benchmark word is numbered and written in a few digits, any other word as one sign;
-the windows of ten consecutive words of every item, or the whole item where it is shorter, make up the automaton in
-that writing, which keeps its nodes few and narrow. Each document is scanned once; places in its writing map to
-word numbers, and these to offsets of the original text.
-
-The automaton is broadcast as the texts it is built from, so their size is checked: items are taken in blocks of
-at most BLOCK_CHARS characters, and a larger benchmark is scanned block by block, each block against all documents.
+from U+0080). Every distinct benchmark word is numbered and written in a few digits, any other word as one sign. The
+automaton holds, in that writing, anchors: runs of ANCHOR words that begin at every (WINDOW - ANCHOR + 1)-th word of
+an item, so that each window of WINDOW consecutive words has a whole anchor in it; items shorter than a window stand in
+it whole. Each document is scanned once; an anchor that occurs gives the few windows that it can lie in, and these are
+looked up among the item's windows by hash and compared word by word. Word numbers map to offsets of the original text.
+
+Anchors take about a sixth of the memory that all windows would. Still an automaton's size follows the benchmark's, so
+it is checked: it holds BLOCK_CHARS characters of items. A larger benchmark has several, and a task reads HELD_BYTES of
+documents and takes them through one automaton after another: documents are read once, and no text is written.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from bisect import bisect_right
-from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, repeat
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from orolog.llm._shared import cut, keep_rows, map_rows
+from orolog.llm._shared import SLICE_ROWS
 
 WINDOW = 10
-#: Characters of benchmark text in one automaton (about 500 times that in bytes of memory).
-BLOCK_CHARS = 400_000
+#: Words of an anchor.
+ANCHOR = 4
+#: Characters of benchmark text in one automaton (about 60 times that in bytes of memory).
+BLOCK_CHARS = 4_000_000
+#: Bytes of documents that a task holds where there are several automata.
+HELD_BYTES = 64_000_000
 #: How words are written: one sign for words that no item has, else digits, of which the first has signs of its own.
 OTHER, FIRST, REST, BASE = "\x01", 0x100, 0x200, 64
 
@@ -41,6 +49,50 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+class Windows:
+    """The distinct windows of numbered texts, with the items that have each; found by hash, compared word by word."""
+
+    def __init__(self, texts: list[np.ndarray], owners: list[int], width: int) -> None:
+        self.width = width
+        self.words = np.concatenate([np.zeros(0, np.int64), *texts])
+        ends = np.cumsum([len(t) for t in texts])
+        at = np.concatenate([np.zeros(0, np.int64), *(np.arange(e - len(t), e - width + 1) for t, e in zip(texts, ends, strict=True))])
+        who = np.concatenate([np.zeros(0, np.int64), *(np.full(len(t) - width + 1, o) for t, o in zip(texts, owners, strict=True))])
+        keys = self.hashes(self.words)[at] if len(at) else np.zeros(0, np.uint64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.at, self.who = keys[order], at[order], who[order]
+
+    def hashes(self, numbers: np.ndarray) -> np.ndarray:
+        """A hash of every window."""
+        n = len(numbers) - self.width + 1
+        out = np.zeros(max(0, n), dtype=np.uint64)
+        for k in range(self.width):
+            out = (out ^ numbers[k : k + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def find(self, numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the starts those at which a window occurs, and the distinct owners of these windows."""
+        keys = self.hashes(numbers)[starts]
+        low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+        found, owners = np.zeros(len(starts), dtype=bool), [np.zeros(0, np.int64)]
+        seen: set[tuple[int, int]] = set()
+        for k in np.flatnonzero(low < high).tolist():
+            span = (int(low[k]), int(high[k]))
+            mine = numbers[starts[k] : starts[k] + self.width]
+            here = self.at[span[0] : span[1]]
+            if span in seen and (self.words[here[0] : here[0] + self.width] == mine).all():  # repeated windows are compared once
+                found[k] = True
+                continue
+            same = (self.words[here[:, None] + np.arange(self.width)] == mine).all(axis=1)
+            if same.any():
+                found[k] = True
+                owners.append(self.who[span[0] : span[1]][same])
+                if same.all():
+                    seen.add(span)
+        return starts[found], np.unique(np.concatenate(owners))
+
+
 class Scanner:
     """The automaton over (item id, text) pairs; it is built where it is used and reads each text once."""
 
@@ -55,17 +107,32 @@ class Scanner:
         digits = 1
         while BASE**digits < len(number):
             digits += 1
+        self.number = number
         self.writing = {x: "".join(chr((REST if k else FIRST) + n // BASE**k % BASE) for k in range(digits)) for x, n in number.items()}
-        owners: dict[str, set[str]] = defaultdict(set)
+        self.names = sorted({who for who, _ in listed})
+        place = {who: i for i, who in enumerate(self.names)}
+        anchor = min(ANCHOR, width)
+        self.stride = width - anchor + 1
+        texts: list[np.ndarray] = []
+        owners: list[int] = []
+        short: dict[str, tuple[int, set[int]]] = {}
+        anchors: set[str] = set()
         for who, w in listed:
-            for i in range(max(1, len(w) - width + 1) if w else 0):
-                owners["".join(map(self.writing.__getitem__, w[i : i + width]))].add(who)
+            written = [self.writing[x] for x in w]
+            if len(w) >= width:
+                texts.append(np.array([number[x] for x in w], dtype=np.int64))
+                owners.append(place[who])
+                anchors.update("".join(written[i : i + anchor]) for i in range(0, len(w) - anchor + 1, self.stride))
+            elif w:
+                short.setdefault("".join(written), (len(w), set()))[1].add(place[who])
+        self.windows = Windows(texts, owners, width)
         self.automaton = ahocorasick.Automaton()
-        for window, who in owners.items():
-            self.automaton.add_word(window, (len(window) // digits, frozenset(who)))
-        if owners:
+        for pattern in anchors | short.keys():
+            n, who = short.get(pattern, (0, ()))
+            self.automaton.add_word(pattern, (anchor if pattern in anchors else 0, n, frozenset(who)))
+        if anchors or short:
             self.automaton.make_automaton()
-        self.empty = not owners
+        self.empty = not (anchors or short)
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Words of the text, merged word ranges [first, end) that are hit, and the items with occurring windows."""
@@ -73,14 +140,26 @@ class Scanner:
         if self.empty or not w:
             return len(w), [], set()
         written = list(map(self.writing.get, w, repeat(OTHER)))
-        ranges, items, ends = [], set(), None
-        for end, (n, who) in self.automaton.iter("".join(written)):
+        ranges: list[tuple[int, int]] = []
+        items: set[int] = set()
+        maybe: list[int] = []
+        ends = None
+        for end, (anchor, n, who) in self.automaton.iter("".join(written)):
             if ends is None:
                 ends = list(accumulate(map(len, written)))
             last = bisect_right(ends, end) + 1
-            ranges.append((last - n, last))
-            items |= who
-        return len(w), merged(ranges), items
+            if n:
+                ranges.append((last - n, last))
+                items |= who
+            if anchor:
+                maybe.append(last - anchor)
+        if maybe:
+            starts = (np.array(maybe)[:, None] - np.arange(self.stride)).ravel()
+            starts = np.unique(starts[(starts >= 0) & (starts <= len(w) - self.windows.width)])
+            hit, owners = self.windows.find(np.array([self.number.get(x, -1) for x in w], dtype=np.int64), starts)
+            ranges += [(a, a + self.windows.width) for a in hit.tolist()]
+            items |= set(owners.tolist())
+        return len(w), merged(ranges), {self.names[i] for i in items}
 
 
 def merged(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -116,21 +195,63 @@ def digest(items: set[str] | list[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[tuple[list[tuple], bool]]:
-    """The items in blocks of a checked size, each with whether it is the last.
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
+    """The items in blocks of a checked size.
 
-    The benchmark comes to the driver a partition at a time and two blocks at most are held; an item longer than
-    a block is a block. An empty benchmark is one empty block.
+    The benchmark comes to the driver a partition at a time and one block at most is held; an item longer than a
+    block is a block. An empty benchmark is one empty block.
     """
     block: list[tuple] = []
     size = 0
     for r in benchmark.select(benchmark[id_col].alias("i"), benchmark[text_col].alias("t")).where("t is not null").toLocalIterator():
         if block and size + len(r["t"]) > block_chars:
-            yield block, False
+            yield block
             block, size = [], 0
         block.append((r["i"], r["t"]))
         size += len(r["t"])
-    yield block, True
+    yield block
+
+
+#: The automaton that this process built last, by its block's key: tasks of one process share it.
+_built: dict[str, Scanner] = {}
+
+
+def _scanner(key: str, shared, width: int) -> Scanner:
+    if key not in _built:
+        _built.clear()
+        _built[key] = Scanner(shared.value, width)
+    return _built[key]
+
+
+def _shared_blocks(df: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int) -> list[tuple]:
+    """(key, broadcast) of every block, each of block_chars at most; tasks build one automaton at a time from them."""
+    context = df.sparkSession.sparkContext
+    return [(uuid.uuid4().hex, context.broadcast(block)) for block in blocks(benchmark, item_col, item_text_col, block_chars)]
+
+
+def _scanned(batches: Iterable[pa.RecordBatch], at: int, parts: list[tuple], width: int) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+    """Every batch with what `scan` gives for its texts in column `at`, over all blocks."""
+
+    def through(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+        found: list[list] = [[None] * b.num_rows for b in held]
+        for key, shared in parts:
+            scanner = _scanner(key, shared, width)
+            for batch, row in zip(held, found, strict=True):
+                for i, text in enumerate(batch.column(at)):
+                    n, ranges, items = scanner.scan(text.as_py())
+                    if row[i] is not None and (ranges or row[i][1]):
+                        ranges, items = merged([*ranges, *row[i][1]]), items | row[i][2]
+                    row[i] = (n, ranges, items)
+        yield from zip(held, found, strict=True)
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if len(parts) == 1 or size >= HELD_BYTES:
+            yield from through(held)
+            held, size = [], 0
+    yield from through(held)
 
 
 def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -140,49 +261,29 @@ def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     words, the distinct items with an occurring window (a null item id counts as 'null'), and the hit word
     ranges. Null and empty texts have no words and items without words no windows; an empty benchmark hits
     nothing; repeated rows and repeated items are treated alike; an empty table gives no rows. Only the named
-    columns are read.
+    columns are read, and texts of any length are read once.
     """
-    kind = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL("n_words long, n_hit long, n_items long, items array<string>, ranges array<struct<first: int, end: int>>").fields])
-    carried = T.StructType([T.StructField("doc_id", kind), *T.StructType.fromDDL("text string, items array<string>, ranges array<struct<first: int, end: int>>").fields])
-    at = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    for k, (part, last) in enumerate(blocks(benchmark, item_col, item_text_col, block_chars)):
-        if k == 0 and not last:
-            at = at.select("*", F.expr("cast(array() as array<string>) items"), F.expr("cast(array() as array<struct<first: int, end: int>>) ranges"))
-        shared = df.sparkSession.sparkContext.broadcast(part)  # block_chars at most
-
-        def make(shared=shared, last: bool = last) -> Callable[..., list[list]]:
-            scanner = Scanner(shared.value, width)
-
-            def step(ids: list, texts: list, *found: list) -> list[list]:
-                rows = []
-                for i, t, *before in zip(ids, texts, *found, strict=True):
-                    n, ranges, items = scanner.scan(t)
-                    if before:
-                        items |= set(before[0])
-                        ranges = merged([*ranges, *((r["first"], r["end"]) for r in before[1])])
-                    listed = [{"first": a, "end": b} for a, b in ranges]
-                    rows.append((i, n, sum(b - a for a, b in ranges), len(items), sorted(items), listed) if last else (i, t, sorted(items), listed))
-                return [list(x) for x in zip(*rows, strict=True)]
-
-            return step
-
-        at = map_rows(at, schema if last else carried, make)
-        if not last:
-            at = cut(at, "overlap-block")
-    return at
+    schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("n_words long, n_hit long, n_items long, items array<string>, ranges array<struct<first: int, end: int>>").fields])
+    arrow = to_arrow_schema(schema)
+    parts = _shared_blocks(df, benchmark, item_col, item_text_col, block_chars)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS))
+        for batch, found in _scanned(small, 1, parts, width):
+            out = [[n for n, _, _ in found], [sum(b - a for a, b in r) for _, r, _ in found], [len(i) for *_, i in found], [sorted(i) for *_, i in found], [[{"first": a, "end": b} for a, b in r] for _, r, _ in found]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow[0].type), *(pa.array(v, f.type) for v, f in zip(out, list(arrow)[1:], strict=True))], schema=arrow)
+
+    return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")).mapInArrow(run, schema)
 
 
 def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``df`` in whose text no benchmark window occurs; all columns as they are."""
-    for part, last in blocks(benchmark, item_col, item_text_col, block_chars):
-        shared = df.sparkSession.sparkContext.broadcast(part)  # block_chars at most
+    at = df.columns.index(text_col)
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    parts = _shared_blocks(df, benchmark, item_col, item_text_col, block_chars)
 
-        def make(shared=shared) -> Callable[[str | None], bool]:
-            scanner = Scanner(shared.value, width)
-            return lambda text: not scanner.scan(text)[1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in _scanned(batches, at, parts, width):
+            yield batch.filter(pa.array([not ranges for _, ranges, _ in found], pa.bool_()))
 
-        df = keep_rows(df, text_col, make)
-        if not last:
-            df = cut(df, "clean-block")
-    return df
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)

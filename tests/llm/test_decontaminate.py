@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 
@@ -50,6 +51,49 @@ def test_hits_match_brute_force(spark, seed, block):
     assert clean.columns == df.columns and clean.count() == sum(not brute(t, items)[1] for _, t in docs)
 
 
+@pytest.mark.parametrize("width", [1, 3, 4, 5, 10])
+def test_any_width_of_window(width):
+    r = random.Random(width)
+    for _ in range(30):
+        items = [(i, " ".join(r.choices("abc", k=r.randint(0, 30)))) for i in range(4)]
+        scanner, text = D.Scanner(items, width), r.choices("abcx", k=60)
+        hit, found = set(), set()
+        for key, t in items:
+            x = t.split()
+            for i in range(max(1, len(x) - width + 1) if x else 0):
+                win = x[i : i + width]
+                for j in range(len(text) - len(win) + 1):
+                    if text[j : j + len(win)] == win:
+                        hit |= set(range(j, j + len(win)))
+                        found.add(str(key))
+        n, ranges, got = scanner.scan(" ".join(text))
+        assert {k for a, b in ranges for k in range(a, b)} == hit and got == found
+
+
+def test_twenty_blocks_read_the_documents_once(spark, tmp_path):
+    r = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(500)]
+    items = [(f"q{i}", " ".join(r.choices(vocabulary, k=40))) for i in range(40)]
+    docs = [(i, " ".join(r.choices(vocabulary, k=60)) + " " + items[i % 40][1] * (i % 3 == 0), "x") for i in range(300)]
+    spark.createDataFrame(docs, "doc_id long, text string, other string").write.parquet(str(tmp_path / "d"))
+    df, bench = spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(items, "item_id string, text string")
+    chars = 2 * max(len(t) for _, t in items)
+    assert len(list(D.blocks(bench, "item_id", "text", chars))) >= 20
+    for query in (D.find_overlap(df, bench, block_chars=chars), D.drop_overlap(df, bench, block_chars=chars)):
+        plan = query._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    got = {x["doc_id"]: x for x in D.find_overlap(df, bench, block_chars=chars).collect()}
+    for i, _, _ in docs:
+        assert got[i]["items"] == ([f"q{i % 40}"] if i % 3 == 0 else []) and got[i]["n_hit"] == (40 if i % 3 == 0 else 0)
+
+
+def test_long_repetitive_texts_take_no_time():
+    scanner = D.Scanner([(i, "a b " * 400) for i in range(50)] + [(99, "a " * 1000)])
+    began = time.process_time()
+    n, ranges, items = scanner.scan("a b " * 100_000 + "c " + "a " * 100_000)
+    assert ranges == [(0, 200_000), (200_001, 300_001)] and len(items) == 51 and time.process_time() - began < 20
+
+
 def test_ranges_map_back_to_the_text():
     scanner = D.Scanner([(1, "The quick (brown) fox")])
     text = "Ünd so: the QUICK -- brown... Fox! Ende, the quick brown foxes"
