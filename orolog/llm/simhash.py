@@ -79,6 +79,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_rows(df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("text_hash"), df[text_col].alias("text")), schema, make)
 
 
+#: Which of the pairs of positions (a, b) link.
+Alike = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
 class Forest:
     """Union-find over array positions; `link` keeps only links that join two trees."""
 
@@ -93,6 +97,11 @@ class Forest:
             i = int(p[i])
         return i
 
+    def join(self, label: np.ndarray) -> None:
+        """Positions of one label become one tree."""
+        _, first, at = np.unique(label, return_index=True, return_inverse=True)
+        self.parent = first[at].astype(np.int64)
+
     def flatten(self) -> None:
         while True:
             up = self.parent[self.parent]
@@ -110,12 +119,16 @@ class Forest:
                 self.edges.append((i, j))
 
 
-def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int = BUDGET) -> list[tuple[int, int]]:
+def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int = BUDGET, alike: Alike | None = None, label: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links between positions of `keys`, found by walking the given pairs of nodes.
 
     `keys` are unsigned; each root (a, a_end, b, b_end) is a pair of sorted stretches, either the same or disjoint.
+    `alike` says which pairs of positions within the budget link besides; where it is missing all do. With `label`,
+    every link between positions of different labels is returned, and not only a forest of them.
     """
     forest = Forest(len(keys))
+    if label is not None:
+        forest.join(label)
     zeros = {}  # by depth: number of keys before each position whose bit is 0
 
     def before(depth: int) -> np.ndarray:
@@ -134,7 +147,17 @@ def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget:
             a, b = p[at, 0] + k // nb[s][at], p[at, 2] + k % nb[s][at]
             near = np.bitwise_count(keys[a] ^ keys[b]) <= budget
             near &= a != b
-            forest.link(a[near], b[near])
+            a, b = a[near], b[near]
+            if label is not None:
+                apart = label[a] != label[b]
+                a, b = a[apart], b[apart]
+            if alike is not None:
+                good = alike(a, b)
+                a, b = a[good], b[good]
+            if label is None:
+                forest.link(a, b)
+            else:
+                forest.edges += zip(a.tolist(), b.tolist(), strict=True)
 
     stack = [(0, np.array(roots, dtype=np.int64).reshape(-1, 4), np.zeros(len(roots), dtype=np.int64))]
     while stack:
@@ -146,17 +169,19 @@ def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget:
         small = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2]) <= SMALL_PAIR
         compare(pairs[small])
         pairs, diff = pairs[~small], diff[~small]
-        if len(pairs) and depth >= BITS - budget:
+        if len(pairs) and depth == BITS:  # equal keys, many of them
+            compare(pairs)
+        if len(pairs) and alike is None and label is None and depth >= BITS - budget:
             sure = diff + (BITS - depth) <= budget  # whatever the bits below, the members link
             for a, a_end, b, b_end in pairs[sure].tolist():
                 every = np.concatenate([np.arange(a, a_end), np.arange(b, b_end)])
                 forest.link(np.full(len(every), a), every)
             pairs, diff = pairs[~sure], diff[~sure]
-        if len(pairs) and len(forest.edges):
+        if len(pairs) and (label is not None or len(forest.edges)):
             forest.flatten()  # a pair whose members are all in one tree brings no new link
-            label = forest.parent
-            change = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
-            one = (change[pairs[:, 1] - 1] == change[pairs[:, 0]]) & (change[pairs[:, 3] - 1] == change[pairs[:, 2]]) & (label[pairs[:, 0]] == label[pairs[:, 2]])
+            tree = forest.parent
+            change = np.concatenate([[0], np.cumsum(tree[1:] != tree[:-1])])
+            one = (change[pairs[:, 1] - 1] == change[pairs[:, 0]]) & (change[pairs[:, 3] - 1] == change[pairs[:, 2]]) & (tree[pairs[:, 0]] == tree[pairs[:, 2]])
             pairs, diff = pairs[~one], diff[~one]
         if not len(pairs) or depth == BITS:
             continue

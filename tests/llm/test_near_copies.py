@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline as C
-from orolog.llm import jaccard as J
+from orolog.llm import near_copies as J
 
 
 def brute_set(text: str | None) -> set:
