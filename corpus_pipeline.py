@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orolog.llm import decontaminate, jaccard, langid, mixing, sharding
+from orolog.llm import decontaminate, langid, mixing, near_copies, sharding
 from orolog.llm._shared import cut, documents, held_out
 
 #: A document goes if no language is found or the one found scores less.
@@ -29,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (five-word shingles, similarity 0.8 or more): that of the smallest id."""
-    return jaccard.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
