@@ -1,8 +1,8 @@
 """Language identification: script ranges narrow the candidates, Viterbi over words labels spans.
 
 A model has, for each language, the share of its letters in each script and conditional character trigram
-counts. A word's score in a language is the log-probability of its characters; languages that hardly use the
-word's script are no candidates for it. Viterbi with a switching penalty labels the words of a text, so that a
+counts. A word's script decides which languages are candidates, and only they are scored: the score is the
+log-probability of the word's characters. Viterbi with a switching penalty labels the words of a text, so that a
 mixed text falls into spans of one language each.
 
 Texts of one language are the common case: if the two other languages that gain most over any stretch of words
@@ -13,6 +13,7 @@ penalty), and the running sums show that without the word-by-word programme.
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -21,7 +22,7 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +31,6 @@ from orolog.llm._shared import keep_rows, map_rows
 UNDETERMINED = "und"
 #: Expected number of labelled documents of each language that the model is fitted on (fewer where there are fewer).
 SAMPLE_DOCS = 400
-MAX_LANGUAGES = 512
 #: Most frequent character n-grams kept in a model.
 MAX_GRAMS = 200_000
 #: Nats that a change of language costs.
@@ -38,8 +38,8 @@ SWITCH = 12.0
 #: A language is a candidate for words of a script that holds this share of its letters.
 SCRIPT_SHARE = 0.01
 SMOOTH = 0.5
-#: Words whose scores a task keeps; the table starts anew beyond that.
-CACHE_WORDS = 400_000
+#: Scores and facts of words that a task keeps; its tables start anew beyond that.
+CACHE_CELLS = 2_400_000
 
 # First code points of script ranges and the script that begins there ('' for none of these).
 _SCRIPTS = (
@@ -66,36 +66,46 @@ def words(text: str | None) -> list[str]:
 @dataclass
 class Model:
     languages: list[str]
-    grams: dict[str, list[int]]  # counts in each language of one to three characters, words padded by a space
+    grams: dict[str, dict[int, int]]  # counts by place of the language, of one to three characters, words padded by a space
     scripts: list[dict[str, float]]  # share of letters by script
 
     def __post_init__(self) -> None:
         self.alphabet = max(2, sum(len(g) == 1 for g in self.grams))
-        self.known: dict[str, tuple[float, ...]] = {}
-        self.able: dict[str, list[bool]] = {}
-
-    def logs(self, three: str) -> tuple[float, ...]:
-        """Log-probability in each language of the last of three characters after the other two; kept."""
-        none = (0,) * len(self.languages)
-        out = tuple(log((a + SMOOTH) / (b + SMOOTH * self.alphabet)) for a, b in zip(self.grams.get(three, none), self.grams.get(three[:2], none), strict=True))
-        if len(self.known) > MAX_GRAMS:
-            self.known.clear()
-        self.known[three] = out
+        self.able: dict[str, list[int]] = {}
+        self.known: dict[str, dict[str, tuple[float, ...]]] = {}
+
+    def candidates(self, kind: str) -> list[int]:
+        """Places of the languages that use a script."""
+        if kind not in self.able:
+            self.able[kind] = [k for k, s in enumerate(self.scripts) if s.get(kind, 0.0) >= SCRIPT_SHARE]
+        return self.able[kind]
+
+    def logs(self, three: str, kind: str) -> tuple[float, ...]:
+        """Log-probability in each candidate of the last of three characters after the other two; kept."""
+        last, before = self.grams.get(three, {}), self.grams.get(three[:2], {})
+        out = tuple(log((last.get(k, 0) + SMOOTH) / (before.get(k, 0) + SMOOTH * self.alphabet)) for k in self.candidates(kind))
+        known = self.known.setdefault(kind, {})
+        if len(known) > MAX_GRAMS:
+            known.clear()
+        known[three] = out
         return out
 
     def score(self, word: str) -> list[float]:
-        """Log-probability of the word in each language; a language whose script it isn't gets the lowest of all less one a character."""
+        """Log-probability of the word in each language; one whose script it isn't gets the lowest of the candidates less one a character."""
+        kind, scores = self.scored(word)
+        out = [min(scores, default=0.0) - len(word) * bool(scores)] * len(self.languages)
+        for k, x in zip(self.candidates(kind), scores, strict=True):
+            out[k] = x
+        return out
+
+    def scored(self, word: str) -> tuple[str, list[float]]:
+        """The word's script, and its log-probability in each candidate of that script; no other language is looked at."""
         kind = script(word[0]) or next((k for c in word if (k := script(c))), "")
-        able = self.able.get(kind)
-        if able is None:
-            able = self.able[kind] = [s.get(kind, 0.0) >= SCRIPT_SHARE for s in self.scripts]
-        if not any(able):
-            return [0.0] * len(able)
-        padded, known = f" {word} ", self.known
-        parts = [known.get(padded[i : i + 3]) or self.logs(padded[i : i + 3]) for i in range(len(word))]
-        out = list(map(sum, zip(*parts, strict=True)))
-        low = min(out) - len(word)
-        return [x if a else low for x, a in zip(out, able, strict=True)]
+        if not self.candidates(kind):
+            return kind, []
+        padded, known = f" {word} ", self.known.setdefault(kind, {})
+        parts = [known.get(padded[i : i + 3]) or self.logs(padded[i : i + 3], kind) for i in range(len(word))]
+        return kind, list(map(sum, zip(*parts, strict=True)))
 
 
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int, int]]:
@@ -134,7 +144,7 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int,
 
 
 class Labeller:
-    """Scores words once, and labels texts."""
+    """Scores words once, and labels texts. A script's words have a table of their own, as wide as the script has candidates."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
@@ -143,50 +153,87 @@ class Labeller:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.table = np.zeros((1024, len(self.model.languages)))
-        self.letters = np.zeros(1024, dtype=np.int64)
-        self.readable = np.zeros(1024, dtype=np.int64)  # letters, if some language uses the word's script
-
-    def _add(self, word: str) -> int:
-        at = self.number[word] = len(self.number)
-        if at == len(self.table):
-            self.table = np.vstack([self.table, np.zeros_like(self.table)])
-            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.readable = np.concatenate([self.readable, np.zeros_like(self.readable)])
-        self.letters[at] = len(word) if word.isalpha() else sum(map(str.isalpha, word))
-        if self.letters[at]:
-            self.table[at] = self.model.score(word)
-            self.readable[at] = self.letters[at] * any(self.table[at])  # only a script that no language uses scores zeros
-        return at
+        self.kinds: list[str] = [""]  # the first for words that no language reads
+        self.tables: list[list[list[float]]] = [[[]]]
+        self.arrays: dict[int, np.ndarray] = {}
+        self.facts: list[tuple[int, int, int]] = []  # of each word: place of its script, place in that table, letters
+        self.fact_array = np.zeros((0, 3), dtype=np.int64)
+        self.cells = 0
+
+    def _add(self, word: str) -> None:
+        letters = len(word) if word.isalpha() else sum(map(str.isalpha, word))
+        kind, scores = self.model.scored(word) if letters else ("", [])
+        if scores:
+            if kind not in self.kinds[1:]:
+                self.kinds.append(kind)
+                self.tables.append([])
+            k = self.kinds.index(kind, 1)
+            self.tables[k].append(scores)
+            self.facts.append((k, len(self.tables[k]) - 1, letters))
+        else:
+            self.facts.append((0, 0, letters))
+        self.number[word] = len(self.facts) - 1
+        self.cells += len(scores) + 4
+
+    def table(self, k: int) -> np.ndarray:
+        """Scores of all words of a script; rows are added to the array as the list grows."""
+        old = self.arrays.get(k)
+        rows = self.tables[k]
+        if old is None or len(old) < len(rows):
+            new = np.array(rows[0 if old is None else len(old) :], dtype=np.float64)
+            self.arrays[k] = new if old is None else np.concatenate([old, new])
+        return self.arrays[k]
 
     def numbers(self, listed: list[str]) -> np.ndarray:
-        if len(self.number) > CACHE_WORDS:
+        if self.cells > CACHE_CELLS:
             self.forget()
         found = list(map(self.number.get, listed))
         if None in found:
-            number, add = self.number, self._add
-            found = [number[w] if w in number else add(w) for w in listed]
-        return np.array(found, dtype=np.int64)
+            for w in listed:
+                if w not in self.number:
+                    self._add(w)
+            found = list(map(self.number.get, listed))
+        if len(self.fact_array) < len(self.facts):
+            self.fact_array = np.concatenate([self.fact_array, np.array(self.facts[len(self.fact_array) :], dtype=np.int64)])
+        return self.fact_array[np.array(found, dtype=np.int64)]
+
+    def scores(self, facts: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Scores of a text's words in the candidates of its scripts, and these candidates.
+
+        A language that doesn't use a word's script gets the lowest of the others less one a character; words that no
+        language reads score nothing in any.
+        """
+        present = [k for k in np.unique(facts[:, 0]).tolist() if k]
+        if len(present) == 1 and facts[:, 0].all():
+            return self.table(present[0])[facts[:, 1]], self.model.candidates(self.kinds[present[0]])
+        columns = sorted({c for k in present for c in self.model.candidates(self.kinds[k])}) or [0]
+        out = np.zeros((len(facts), len(columns)))
+        for k in present:
+            at = np.flatnonzero(facts[:, 0] == k)
+            own = self.table(k)[facts[at, 1]]
+            out[at] = (own.min(1) - facts[at, 2])[:, None]
+            out[np.ix_(at, np.searchsorted(columns, self.model.candidates(self.kinds[k])))] = own
+        return out, columns
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, int]]]:
         """Language of most letters, its score, and the spans (first word, end, language)."""
-        listed = words(text)
-        ids = self.numbers(listed)
-        letters = self.letters[ids]
-        if not letters.sum() or not self.model.languages:
+        facts = self.numbers(words(text))
+        letters = facts[:, 2]
+        total = int(letters.sum())
+        if not total or not self.model.languages:
             return UNDETERMINED, 0.0, []
-        self.read = float(self.readable[ids].sum() / letters.sum())
-        scores = self.table[ids]
+        self.read = float(letters[facts[:, 0] > 0].sum() / total)
+        scores, columns = self.scores(facts)
         spans = viterbi(scores)
-        share = [0] * len(self.model.languages)
+        if len(self.model.languages) == 1:
+            return self.model.languages[0], 1.0, [(a, b, 0) for a, b, _ in spans]
+        share = [0] * len(columns)
         for a, b, k in spans:
             share[k] += int(letters[a:b].sum())
         best = max(range(len(share)), key=share.__getitem__)
-        if len(share) == 1:
-            return self.model.languages[0], 1.0, spans
         own = np.concatenate([scores[a:b] for a, b, k in spans if k == best]).sum(0)
-        lead = own[best] - np.delete(own, best).max()
-        return self.model.languages[best], share[best] / sum(share) / (1 + exp(-min(50.0, max(-50.0, lead)))), spans
+        lead = own[best] - np.delete(own, best).max() if len(own) > 1 else float(share[best]) * bool(self.read)  # as if another language had the lowest score
+        return self.model.languages[columns[best]], share[best] / total / (1 + exp(-min(50.0, max(-50.0, lead)))), [(a, b, columns[k]) for a, b, k in spans]
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """Character spans of one language each, from the first letter of a span to its last."""
@@ -196,15 +243,11 @@ class Labeller:
 
 
 def sample(labelled: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[str], DataFrame]:
-    """The languages, and the rows ``(doc_id, lang, text)`` of which about `per_language` of each stay, chosen by a hash of the id."""
-    counts = labelled.groupBy("lang").count().take(MAX_LANGUAGES + 1)
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    keep: Column = F.lit(False)
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(2**40))
-    for r in counts:
-        keep = keep | ((F.col("lang") == r["lang"]) & (place < F.lit(int(min(1.0, per_language / r["count"]) * 2**40))))
-    return sorted(r["lang"] for r in counts), labelled.where(keep)
+    """The languages, and the rows ``(doc_id, lang, text)`` of which about `per_language` of each stay, chosen by a hash of the id, or of the text where there is none."""
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))), F.lit(2**40))
+    chosen = labelled.join(counts, "lang").where(place < F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")) * 2**40)
+    return sorted(r["lang"] for r in counts.select("lang").collect()), chosen.select("doc_id", "lang", "text")
 
 
 def train(labelled: DataFrame) -> Model:
@@ -235,23 +278,31 @@ def train(labelled: DataFrame) -> Model:
     grams = chosen.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").where("n > 0")
     if not languages:
         return Model([], {}, [])
-    kept = grams.groupBy("gram").agg(*(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)))
-    values = [F.col(f"n{k}") for k in range(len(languages))]
-    total = values[0]
-    for v in values[1:]:
-        total = total + v
-    rows = kept.select("gram", F.array(*values).alias("n"), total.alias("all")).orderBy(F.desc("all"), "gram").limit(MAX_GRAMS).collect()
-    table = {r["gram"]: list(r["n"]) for r in rows}
+    place = {x: k for k, x in enumerate(languages)}
+    counted = grams.groupBy("gram", "lang").agg(F.sum("n").alias("n")).groupBy("gram").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("cells"))  # a cell for each language
+    rows = counted.orderBy(F.desc("all"), "gram").limit(MAX_GRAMS).select("gram", "cells").collect()
+    table = {r["gram"]: {place[c["lang"]]: c["n"] for c in r["cells"]} for r in rows}
     scripts: list[dict[str, float]] = []
     for k in range(len(languages)):
         by: Counter = Counter()
         for g, n in table.items():
             if len(g) == 1:
-                by[script(g)] += n[k]
+                by[script(g)] += n.get(k, 0)
         scripts.append({s: x / max(1, sum(by.values())) for s, x in by.items()})
     return Model(languages, table, scripts)
 
 
+#: The labeller that this process made last, by its model's key: tasks of one process share its words.
+_made: dict[str, Labeller] = {}
+
+
+def _labeller(key: str, shared) -> Labeller:
+    if key not in _made:
+        _made.clear()
+        _made[key] = Labeller(shared.value)
+    return _made[key]
+
+
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Language of every row's whole text.
 
@@ -261,10 +312,10 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     Only the named columns are read.
     """
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("lang_pred string, score double, n_spans long").fields])
-    shared = df.sparkSession.sparkContext.broadcast(model)  # MAX_GRAMS n-grams at most
+    shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # MAX_GRAMS n-grams at most
 
     def make() -> Callable[..., list[list]]:
-        labeller = Labeller(shared.value)
+        labeller = _labeller(key, shared)
 
         def step(ids: list, texts: list) -> list[list]:
             rows = []
@@ -283,10 +334,10 @@ def keep_identified(df: DataFrame, model: Model, least: float, text_col: str = "
 
     Letters of scripts that no language of the model uses belong to none: the score counts for the share of the others.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def make() -> Callable[[str | None], bool]:
-        labeller = Labeller(shared.value)
+        labeller = _labeller(key, shared)
 
         def good(text: str | None) -> bool:
             lang, score, _ = labeller.label(text)  # sets labeller.read

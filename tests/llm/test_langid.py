@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 from itertools import product
 
 import numpy as np
@@ -86,3 +88,59 @@ def test_rows(spark, model):
     assert L.keep_identified(df, model, 0.6).count() == 1
     russian = L.Model(["ru"], {}, [{"Cyrillic": 1.0}])
     assert L.keep_identified(df, russian, 0.35).count() == 0
+
+
+def test_only_candidates_are_scored(model):
+    model.known.clear()
+    kind, scores = model.scored("цифра")
+    assert kind == "Cyrillic" and len(scores) == 1 == len(model.candidates("Cyrillic")) and set(model.known) == {"Cyrillic"}
+    assert all(len(x) == 1 for x in model.known["Cyrillic"].values())
+    assert len(model.scored("maison")[1]) == 3
+
+
+def brute(model, text: str) -> tuple[str, float]:
+    """Language and score by a plain programme over all languages and words."""
+    found = re.findall(r"[^\W\d_]+", text.lower())
+    n = len(model.languages)
+    rows = [model.score(w) for w in found]
+    best, back = list(rows[0]), []
+    for row in rows[1:]:
+        top = max(range(n), key=best.__getitem__)
+        step = [k if best[k] >= best[top] - L.SWITCH else top for k in range(n)]
+        best = [(best[k] if step[k] == k else best[top] - L.SWITCH) + row[k] for k in range(n)]
+        back.append(step)
+    k = max(range(n), key=best.__getitem__)
+    path = [k]
+    for step in reversed(back):
+        path.append(k := step[k])
+    path.reverse()
+    share = [sum(len(w) for w, p in zip(found, path, strict=True) if p == k) for k in range(n)]
+    k = max(range(n), key=share.__getitem__)
+    own = [sum(r[j] for r, p in zip(rows, path, strict=True) if p == k) for j in range(n)]
+    lead = own[k] - max(x for j, x in enumerate(own) if j != k)
+    return model.languages[k], share[k] / sum(share) / (1 + math.exp(-max(-50, min(50, lead))))
+
+
+def test_language_and_score_match_brute_force(model):
+    r, labeller = random.Random(14), L.Labeller(model)
+    for _ in range(150):
+        text = " ".join(made(r.choice(list(TEXTS)), r.randint(1, 12), r) for _ in range(r.randint(1, 4)))
+        got, want = labeller.label(text), brute(model, text)
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], abs=1e-6)
+
+
+def test_any_number_of_languages_and_null_ids(spark):
+    rows = [(None if i % 2 else i, f"l{i % 700:03}", f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 5 + str(i)) for i in range(1400)]
+    labelled = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    many = L.train(labelled)
+    assert len(many.languages) == 700 and L.Labeller(many).label("wordaa wordaa")[0] in many.languages
+    one = labelled.selectExpr("cast(null as long) doc_id", "'x' lang", "text")
+    languages, chosen = L.sample(one, 140)
+    assert languages == ["x"] and 60 < chosen.count() < 260  # about a tenth of them, not all
+
+
+def test_a_very_long_mixed_text(model):
+    r, labeller = random.Random(15), L.Labeller(model)
+    text = " ".join(made(lang, 40_000, r) for lang in ("de", "ru", "en"))
+    lang, score, spans = labeller.label(text)
+    assert [model.languages[k] for *_, k in spans] == ["de", "ru", "en"] and 0.2 < score < 0.6
