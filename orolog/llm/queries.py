@@ -61,8 +61,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base rules and compression bands of all documents."""
-    return quality.score_quality(documents(spark, sf_dir)).drop("n_chunks", "n_bad_chunks")
+    """Base rules and compression bands of all documents, the bands fitted to labelled documents that are not held out."""
+    docs = documents(spark, sf_dir)
+    return quality.score_quality(docs, fitted_band=quality.fit(docs, documents(spark, sf_dir, "labels"))).drop("n_chunks", "n_bad_chunks")
 
 
 def op9_tokens(spark: SparkSession, sf_dir: str, pieces: str = PIECES) -> DataFrame:
