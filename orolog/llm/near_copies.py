@@ -269,6 +269,6 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     size = shape(df.count())
     every = cut(members(df, id_col, text_col, size[2]), "near-members")
     # equal fp, equal set: whichever row's set is taken
-    one = cut(every.groupBy("fp").agg(F.min(simhash.order()).alias("first"), *(F.first(c).alias(c) for c in ("n", "prints"))), "near-distinct")
+    one = cut(every.groupBy("fp").agg(F.min(simhash.order()).alias("first"), F.count("*").alias("rows"), *(F.first(c).alias(c) for c in ("n", "prints"))), "near-distinct")
     roots = simhash.components(links(df, one, size, id_col, text_col))
-    return simhash.kept(df, simhash.placed(every.select("doc_id", "text_hash", "fp"), one.select("fp", "first"), roots), id_col, text_col)
+    return simhash.kept(df, simhash.placed(every.select("doc_id", "text_hash", "fp"), one.select("fp", "first", "rows"), roots), id_col, text_col)

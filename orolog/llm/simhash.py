@@ -8,9 +8,9 @@ pairs of small nodes are compared outright. All pairs of one depth are walked in
 Distribution. Of BUDGET + k blocks of bits, two linked fingerprints agree in k blocks at least, whichever these
 are. So every choice of k blocks is a trie whose first levels have a budget of zero: fingerprints are sent to
 the task of their bits in those blocks, and the walk over the other bits there has the whole budget. k grows
-with the number of distinct fingerprints, so that subtries stay small; a subtrie of more than TILE_ROWS members
-(many fingerprints close to each other) is cut into tiles, and every pair of tiles is walked in a task of its
-own. Each task hands on a spanning forest of the links that it finds, never all pairs.
+with the number of distinct fingerprints, so that subtries stay small. Of a subtrie of more than TILE_ROWS members
+(many fingerprints close to each other) the other bits are cut into BUDGET + 1 blocks in the same way; what is
+still too large is cut into tiles, and every pair of tiles is walked in a task of its own. Each task hands on a spanning forest of the links that it finds, never all pairs.
 
 Components of the links are found by alternating large-star and small-star steps over the forest's edges.
 """
@@ -45,6 +45,8 @@ STEP_PAIRS = 1 << 17
 WALK_ROWS = 1 << 16
 #: Rows (id, text hash) up to which the documents that go are broadcast, so that texts stay where they are.
 BROADCAST_ROWS = 2_000_000
+#: Rows of one key beyond which its join is done by broadcast.
+HOT_ROWS = 100_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
@@ -231,6 +233,12 @@ def masks(k: int, budget: int = BUDGET) -> list[int]:
     return out
 
 
+def blocks_of(mask: int, n: int) -> list[int]:
+    """The bits of a mask in n blocks of nearly equal size, as masks."""
+    bits = [i for i in range(BITS) if mask >> i & 1]
+    return [sum(1 << i for i in bits[len(bits) * k // n : len(bits) * (k + 1) // n]) for k in range(n)]
+
+
 def _walk(budget: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (choice, prefix, tile, side, fp), ordered, to a spanning forest of each subtrie or pair of tiles."""
 
@@ -284,24 +292,38 @@ def links(distinct: DataFrame, budget: int = BUDGET, fixed: int | None = None, t
     n = distinct.count()
     chosen = masks(fixed or blocks_fixed(n, budget), budget)
     spread = distinct.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("prefix")) for i, m in enumerate(chosen)))).alias("x")).select("fp", "x.*")
-    sizes = spread.groupBy("choice", "prefix").agg(F.count("*").alias("members")).where(F.col("members") > tile_rows)
-    large = cut(sizes, "simhash-large")
-    one = [F.lit(0).cast("long").alias("tile"), F.lit(0).cast("long").alias("side")]
+    zero, key = F.lit(0).cast("long"), ["choice", "prefix"]
+    large = cut(spread.groupBy(*key).agg(F.count("*").alias("members")).where(F.col("members") > tile_rows), "simhash-large")
     order = ["choice", "prefix", "tile", "side", "fp"]
-    if large.isEmpty():
-        rows = spread.select("choice", "prefix", *one, "fp")
-    else:
-        key = ["choice", "prefix"]
-        plain = spread.join(large, key, "left_anti").select("choice", "prefix", *one, "fp")
-        tiles = spread.join(large, key).withColumn("n", F.ceil(F.col("members") / (tile_rows / 2))).withColumn("own", F.pmod(F.xxhash64("fp"), "n"))
-        met = tiles.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    rows = spread.select(*key, zero.alias("tile"), zero.alias("side"), "fp")
+    if not large.isEmpty():
+        # of budget + 1 blocks of the other bits linked members agree in one: each is a trie of its own, and far smaller
+        deeper = ", ".join(f"array({', '.join(f'{signed(x)}L' for x in blocks_of(~m & (1 << BITS) - 1, budget + 1))})" for m in chosen)
+        again = spread.join(large.select(*key), key).withColumn("x", F.explode(F.expr(f"transform(element_at(array({deeper}), choice + 1), (m, i) -> struct(i as sub, fp & m as more))")))
+        again = cut(again.select(*key, "x.*", "fp"), "simhash-deeper")
+        more = [*key, "sub", "more"]
+        crowded = cut(again.groupBy(*more).agg(F.count("*").alias("members")).where(F.col("members") > tile_rows), "simhash-crowded")
+        alone = again.join(crowded, more, "left_anti").select(*key, F.xxhash64("sub", "more").alias("tile"), zero.alias("side"), "fp")
+        tiles = again.join(crowded, more).withColumn("n", F.ceil(F.col("members") / (tile_rows / 2))).withColumn("own", F.pmod(F.xxhash64("fp"), "n"))
+        met = tiles.withColumn("other", F.explode(F.sequence(zero, F.col("n") - 1)))
         low, high = F.least("own", "other"), F.greatest("own", "other")
-        cut_up = met.select("choice", "prefix", (1 + low * F.col("n") + high).alias("tile"), F.when(F.col("own") == F.col("other"), 0).when(F.col("own") == low, 1).otherwise(2).cast("long").alias("side"), "fp")
-        rows = plain.unionByName(cut_up)
+        side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") == low, 1).otherwise(2).cast("long")
+        cut_up = met.select(*key, F.xxhash64("sub", "more", low, high).alias("tile"), side.alias("side"), "fp")
+        rows = rows.join(large, key, "left_anti").select(*order).unionByName(alone).unionByName(cut_up)
     dealt = rows.repartition(partitions(spark), "choice", "prefix", "tile").sortWithinPartitions(*order)
     return dealt.select(*order).mapInArrow(_walk(budget), "a long, b long")
 
 
+def join_spread(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """`many` joined to the one row of `one` for each key, which counts the key's rows in ``rows``.
+
+    Keys of more than HOT_ROWS rows would each be one task; they are at most the rows of `many` / HOT_ROWS, and are broadcast.
+    """
+    hot = F.broadcast(one.where(F.col("rows") > HOT_ROWS).drop("rows"))
+    rest = many.join(hot.select(key), key, "left_anti").join(one.where(F.col("rows") <= HOT_ROWS).drop("rows"), key)
+    return many.join(hot, key).unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(a, b)``: root is the smallest node of its component.
 
@@ -312,8 +334,8 @@ def components(edges: DataFrame) -> DataFrame:
     now, before = cut(one_way(edges), "edges"), None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows")).select("a", F.least("a", "m").alias("m"), "rows"), "edges-least")
+        large = join_spread(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         down = cut(one_way(large), "edges-large")
         small_least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(small_least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small_least.select("a", F.col("m").alias("b")))
@@ -334,16 +356,17 @@ def order() -> Column:
 
 
 def placed(docs: DataFrame, distinct: DataFrame, roots: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, fp, root, first``: first is the first row of the component, as a struct of _ORDER."""
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    """``doc_id, text_hash, fp, root, first``: first is the first row of the component, as a struct of _ORDER. `distinct` has ``fp, first, rows``."""
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"), F.col("rows").alias("members"))
     named = cut(named, "placed-fingerprints")
-    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
-    return docs.join(named.select("fp", "root").join(firsts, "root"), "fp").select("doc_id", "text_hash", "fp", "root", "first")
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"), F.count("*").alias("rows"))
+    known = cut(join_spread(named.select("fp", "root", "members"), firsts, "root").withColumnRenamed("members", "rows"), "placed-roots")
+    return join_spread(docs, known, "fp").select("doc_id", "text_hash", "fp", "root", "first")
 
 
 def _placed(df: DataFrame, id_col: str, text_col: str, budget: int) -> DataFrame:
     docs = cut(fingerprints(df, id_col, text_col), "fingerprints")
-    distinct = cut(docs.groupBy("fp").agg(F.min(order()).alias("first")), "distinct-fingerprints")
+    distinct = cut(docs.groupBy("fp").agg(F.min(order()).alias("first"), F.count("*").alias("rows")), "distinct-fingerprints")
     return placed(docs, distinct, components(links(distinct.select("fp"), budget)))
 
 

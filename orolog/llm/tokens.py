@@ -14,6 +14,7 @@ Paths are therefore counted chunk by chunk between such places, and the counts o
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from math import log
@@ -124,6 +125,17 @@ class Counter:
         return total
 
 
+#: The counter that this process made last, by its vocabulary's key: tasks of one process share its chunks.
+_made: dict[str, Counter] = {}
+
+
+def _counter(key: str, shared) -> Counter:
+    if key not in _made:
+        _made.clear()
+        _made[key] = Counter(shared.value)
+    return _made[key]
+
+
 def count_tokens(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokens of every row's whole text.
 
@@ -131,11 +143,11 @@ def count_tokens(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
     texts of any length are read whole; repeated rows count alike; an empty table gives no rows. Only the named
     columns are read.
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)  # the vocabulary's pieces
+    shared, key = df.sparkSession.sparkContext.broadcast(vocabulary), uuid.uuid4().hex  # the vocabulary's pieces
     schema = T.StructType([T.StructField("doc_id", df.schema[id_col].dataType), *T.StructType.fromDDL("n_tokens long, n_chars long").fields])
 
     def make() -> Callable[..., list[list]]:
-        counter = Counter(shared.value)
+        counter = _counter(key, shared)
         return lambda ids, texts: [ids, [counter.count(t) for t in texts], [len(t or "") for t in texts]]
 
     return map_rows(df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")), schema, make)

@@ -120,3 +120,14 @@ def test_near_duplicates_match_brute_force(spark):
     kept = S.keep_one(df).collect()
     assert len(kept) == len(set(comp)) and kept[0].asDict().keys() == {"doc_id", "text", "component_id"}
     assert S.near_duplicates(df.limit(0)).count() == 0 and S.keep_one(df.limit(0)).count() == 0
+
+
+def test_hot_keys_join_by_broadcast(spark, monkeypatch):
+    r = random.Random(31)
+    words = [f"w{r.randrange(500)}" for _ in range(60)]
+    rows = [(i, " ".join(words)) for i in range(80)] + [(200 + i, "") for i in range(50)] + [(300 + i, " ".join([*words[:-1], f"x{i}"])) for i in range(20)]
+    df = spark.createDataFrame([(*x, 0, "c") for x in rows], "doc_id long, text string, fp int, first string")
+    want = sorted((x["doc_id"], x["component_id"]) for x in S.near_duplicates(df).collect())
+    monkeypatch.setattr(S, "HOT_ROWS", 3)
+    assert sorted((x["doc_id"], x["component_id"]) for x in S.near_duplicates(df).collect()) == want
+    assert len(want) == 150 and dict(want)[79] == 0 and dict(want)[249] == 200
