@@ -9,7 +9,8 @@ small, and the number of tries with the levels, so that a pair at the limit is f
 
 Texts of one shingle set are one member from the start. Pairs are compared in two rounds. The first takes a spanning
 forest of what each subtrie proposes, so that a large group of near copies costs its size and not its square. The second takes
-all proposed pairs of members that the first has not put into one component, so that none is left out.
+all proposed pairs of members that the first has not put into one component, so that none is left out; there the bits of all
+fingerprints together tell most pairs below the limit, before any set is looked at.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ RECALL = 0.999
 #: Share of the pairs in one subtrie at the limit that keep both budgets (0.96 and 0.99 by the binomial law).
 WITHIN = 0.94
 LEAST_LEVELS = 12
-#: Standard deviations by which the bits of all fingerprints may lie beyond those expected at the limit, in the second round.
-SPARE = 4.5
+#: Fingerprints of a text at least, and the standard deviations by which the differing bits of all of them may lie beyond those
+#: expected at the limit in the second round: 0.999 of the pairs at the limit stay, and most of those of lower similarity go.
+LEAST_PRINTS, SPARE = 16, 3.0
 SEED = 42
 #: Members whose shingle sets a task holds while others are compared with them.
 HELD_SETS = 64
@@ -52,7 +54,7 @@ def shape(n: int) -> tuple[int, int, int]:
     """Levels without budget, tries, and fingerprints for n texts."""
     levels = max(LEAST_LEVELS, ceil(log2(max(1, n) / simhash.SUBTRIE_ROWS)))
     tries = ceil(log(1 - RECALL) / log(1 - WITHIN * AGREE**levels))
-    return levels, tries, max(2, ceil(tries / (BITS // levels)))
+    return levels, tries, max(LEAST_PRINTS, ceil(tries / (BITS // levels)))
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
