@@ -78,6 +78,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(out["doc_id"]).alias("held_out"), "lang_pred", "score", "n_spans")
 
 
+def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_secrets that SQL can express."""
+    return op1_secrets(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in secret_scan.KINDS), "base_sha256")
+
+
+def base_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5_pii that SQL can express."""
+    return op5_pii(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256")
+
+
+def base_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8_quality that SQL can express."""
+    return op8_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7_mixing that SQL can express."""
+    return op7_mixing(spark, sf_dir).select("doc_id", "size", "source_size", "target")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -91,8 +111,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_tokens": op9_tokens,
         "op10_language": op10_language,
         "pipeline": corpus_pipeline.run,
+        "base_secrets": base_secrets,
+        "base_pii": base_pii,
+        "base_quality": base_quality,
+        "mix_targets": mix_targets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sql.SHARDING, "op6_decontamination": sql.DECONTAMINATION} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    base = {"base_secrets": sql.SECRETS, "base_pii": sql.PERSONAL, "base_quality": sql.QUALITY, "mix_targets": sql.TARGETS}
+    return {"op3_sharding": sql.SHARDING, "op6_decontamination": sql.DECONTAMINATION} | base | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
