@@ -7,6 +7,7 @@ import json
 import logging
 import os
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,33 +18,42 @@ from orolog.sinks import files as sinks
 from orolog.sources import documents, folder_tree, reports
 
 LOG = logging.getLogger("orolog")
+#: Files after which a run writes its report.
+BATCH = 1000
 
 
 def texts_of(spark: SparkSession, path: str) -> DataFrame:
-    """Texts of one file (a PDF unless it ends in .txt), or of the PDFs and texts right in a folder."""
+    """``doc_id, text, error`` of one file (a PDF unless it ends in .txt), or of the PDFs and texts in a folder and below it.
+
+    The path may be in any file system that Spark reads. A file that can't be read has a null text and says why.
+    """
+    none = F.lit(None).cast("string")
+    plain = lambda glob: documents.text_files(spark, path, glob).withColumn("error", none)
     if path.lower().endswith(".txt"):
-        return documents.text_files(spark, path, "*")
-    if os.path.isfile(path):
-        return documents.pdf_texts(documents.pdf_files(spark, path)).select("doc_id", "text")
-    names = os.listdir(path)
-    parts = []
-    if any(n.endswith(".pdf") for n in names):
-        parts.append(documents.pdf_texts(documents.pdf_files(spark, path)).select("doc_id", "text"))
-    if any(n.endswith(".txt") for n in names):
-        parts.append(documents.text_files(spark, path))
+        return plain("*")
+    pdfs = documents.pdf_texts(documents.pdf_files(spark, path))
+    if not documents.is_folder(spark, path):
+        return pdfs
+    parts = [rows for glob, rows in (("*.pdf", pdfs), ("*.txt", None)) if documents.any_file(spark, path, glob) for rows in [plain(glob) if rows is None else rows]]
     if not parts:
         raise SystemExit(f"no documents in {path}")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def parse(spark: SparkSession, source: str, out: str) -> int:
     """Write each document's four files to `out`; the number of documents that failed."""
-    parsed = timesheet.parse_documents(texts_of(spark, source)).persist()
+    texts = texts_of(spark, source).persist()
+    parsed = timesheet.parse_documents(texts).persist()
     os.makedirs(out, exist_ok=True)
     sinks.write_documents(parsed, F.lit(os.path.abspath(out)), documents.safe_stem(F.col("doc_id"))).count()
-    for r in parsed.select("doc_id", "error", sinks.totals_json(parsed).alias("totals")).orderBy("doc_id").toLocalIterator():
-        print(r["totals"] if r["error"] is None else f"{r['doc_id']}: {r['error']}")
-    return parsed.where("status = 'failed'").count()
+    why = texts.select("doc_id", F.col("error").alias("unread"))
+    shown = parsed.select("doc_id", "error", sinks.totals_json(parsed).alias("totals")).join(why, "doc_id")
+    for r in shown.orderBy("doc_id").toLocalIterator():
+        print(r["totals"] if r["error"] is None else f"{r['doc_id']}: {r['unread'] or r['error']}")
+    failed = parsed.where("status = 'failed'").count()
+    parsed.unpersist()
+    texts.unpersist()
+    return failed
 
 
 def listing_table(spark: SparkSession, path: str) -> DataFrame:
@@ -56,9 +66,10 @@ def listing_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("folder_listing").load(os.path.abspath(path))
 
 
-def catalog_scan(spark: SparkSession, table: DataFrame, root: str, out: str) -> str:
+def catalog_scan(spark: SparkSession, table: DataFrame, root: str, out: str, terms: list[str] | None = None) -> str:
     """Write the manifest of a listing; its path."""
-    employees, items, folders = listing.scan(table, root)
+    held: list[DataFrame] = []
+    employees, items, folders = listing.scan(table, root, listing.TERMS if terms is None else terms, held)
     none = F.lit(None).cast("string")
     item = F.struct("file_id", "file_name", "mimeType", "container", "reason", F.lit(None).cast(reports.OUTPUTS).alias("outputs"), none.alias("folder_id"), none.alias("folder_name"))
     gone = F.struct(none.alias("file_id"), none.alias("file_name"), none.alias("mimeType"), none.alias("container"), F.col("reason"), F.lit(None).cast(reports.OUTPUTS).alias("outputs"), "folder_id", "folder_name")
@@ -69,30 +80,54 @@ def catalog_scan(spark: SparkSession, table: DataFrame, root: str, out: str) ->
     path = os.path.join(out, "manifest.json")
     os.makedirs(out, exist_ok=True)
     document = sinks.write_report(ledger.nested(people, rows), root, path)
+    for df in held:
+        df.unpersist()
     LOG.info("%d employees, %d files", document["employee_count"], sum(e["counts"]["included"] for e in document["employees"]))
     return path
 
 
-def run_manifest(spark: SparkSession, manifest_path: str, files_dir: str, out: str, report_path: str) -> dict:
+def run_manifest(spark: SparkSession, manifest_path: str, files_dir: str, out: str, report_path: str, batch: int = BATCH) -> dict:
     """Parse the manifest's files that have no result yet and merge what came of them into the report.
 
-    A file's content is ``<files_dir>/<file_id>.pdf`` or ``.txt``.
+    A file's content is ``<file_id>.pdf`` or ``.txt`` in `files_dir` or below it. Files are taken in batches, in the
+    manifest's order, and the report is written after each: a run that is killed goes on after its last batch.
     """
     if not os.path.isabs(report_path):
         report_path = os.path.join(out, report_path)
     os.makedirs(out, exist_ok=True)
     manifest = reports.read_manifest(spark, manifest_path).persist()
-    old = reports.read_report(spark, report_path).persist()
     people, listed = reports.employees_of(manifest), reports.items_of(manifest)
+    employees, items = _merged_report(spark, people, listed, report_path)
+    candidates = listed.where("section = 'included'").join(people, "seq").select("seq", "pos", "employee", "employee_id", "file_id", F.col("item.file_name").alias("file_name"))
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.orderBy("seq", "pos")) - 1  # of files that one document lists
+    left = ledger.to_do(candidates, ledger.done_ids(items)).withColumn("batch", F.floor(place / batch)).persist()
+    n = left.count()
+    document = sinks.write_report(ledger.nested(employees, items), manifest.first()["root_id"], report_path) if not n else {}
+    texts = texts_of(spark, files_dir).select(documents.stem(F.col("doc_id")).alias("file_id"), "text", F.col("error").alias("unread")) if n else None
+    for k in range(-(-n // batch)):
+        employees, items = _merged_report(spark, people, listed, report_path)
+        document = _run_batch(left.where(F.col("batch") == k), texts, employees, items, manifest.first()["root_id"], out, report_path)
+        LOG.info("%d of %d files", min(n, (k + 1) * batch), n)
+    left.unpersist()
+    manifest.unpersist()
+    return document
+
+
+def _merged_report(spark: SparkSession, people: DataFrame, listed: DataFrame, report_path: str) -> tuple[DataFrame, DataFrame]:
+    """The manifest's employees and items with those of the report as it is now."""
+    old = reports.read_report(spark, report_path)
     newer = old.where("employees is not null").count() > 0
     before = (reports.employees_of(old), reports.items_of(old)) if newer else ledger.legacy_report(reports.legacy_files_of(old))
-    employees, items = ledger.merge(people, listed, *before)
-    candidates = listed.where("section = 'included'").join(people, "seq").select("seq", "pos", "employee", "employee_id", "file_id", F.col("item.file_name").alias("file_name"))
-    left = ledger.to_do(candidates, ledger.done_ids(items))
-    texts = texts_of(spark, files_dir).select(documents.stem(F.col("doc_id")).alias("file_id"), "text")
+    return ledger.merge(people, listed, *before)
+
+
+def _run_batch(left: DataFrame, texts: DataFrame, employees: DataFrame, items: DataFrame, root_id: str | None, out: str, report_path: str) -> dict:
+    """Parse the files of `left`, write their tables and the report with their results."""
     found = left.withColumn("doc_id", F.concat_ws("/", "seq", "pos")).join(texts, "file_id", "left").persist()
     parsed = timesheet.parse_documents(found.where("text is not null")).persist()
-    result = ledger.outcome(parsed, found.select("doc_id", "employee", "employee_id", "file_id", "file_name"), os.path.abspath(out)).persist()
+    result = ledger.outcome(parsed, found.select("doc_id", "employee", "employee_id", "file_id", "file_name", "unread"), os.path.abspath(out)).persist()
     placed = parsed.join(result.select("doc_id", F.regexp_replace(F.col("outputs.days_csv"), "/days[.]csv$", "").alias("folder")), "doc_id")
     sinks.write_documents(placed, F.col("folder")).count()
     none = F.lit(None).cast("string")
@@ -100,8 +135,10 @@ def run_manifest(spark: SparkSession, manifest_path: str, files_dir: str, out: s
     new = result.join(found.select("doc_id", "seq", "pos"), "doc_id").select(F.col("seq").alias("of"), "pos", "status", "employee", "employee_id", "file_id", item.alias("item"))
     new_people = new.select(F.col("of").alias("seq"), "employee", "employee_id").distinct()
     new_items = new.select(F.col("of").alias("seq"), F.when(F.col("status") == "success", "included").otherwise("skipped").alias("section"), "pos", "file_id", "item")
-    merged = _append(employees, items, new_people, new_items)
-    return sinks.write_report(ledger.nested(*merged), manifest.first()["root_id"], report_path)
+    document = sinks.write_report(ledger.nested(*_append(employees, items, new_people, new_items)), root_id, report_path)
+    for df in (result, parsed, found):
+        df.unpersist()
+    return document
 
 
 def _append(employees: DataFrame, items: DataFrame, people: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -128,11 +165,13 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--listing", required=True, help="a folder (root: 'root'), or Parquet or JSON lines: id, parent_id, name, mime_type, trashed")
     a.add_argument("--root", required=True)
     a.add_argument("--out", default="scan")
+    a.add_argument("--terms", help="terms that exclude files and folders, comma-separated, in order (default: those built in; ORO_TERMS if set)")
     a = sub.add_parser("run-manifest", help="parse a manifest's files that have no result yet")
     a.add_argument("--manifest", required=True)
     a.add_argument("--files", required=True)
     a.add_argument("--out", default="downloads")
     a.add_argument("--report", default="report.json")
+    a.add_argument("--batch", type=int, default=BATCH, help="files after which the report is written")
     a = sub.add_parser("index", help="the PDFs of a match index, in order")
     a.add_argument("--json", required=True)
     args = p.parse_args(argv)
@@ -142,17 +181,18 @@ def main(argv: list[str] | None = None) -> int:
         return 1 if parse(spark, args.input, args.out) else 0
     if args.command == "catalog-scan":
         table = listing_table(spark, args.listing)
-        print(catalog_scan(spark, table, args.root, args.out))
+        terms = args.terms if args.terms is not None else os.environ.get("ORO_TERMS")
+        print(catalog_scan(spark, table, args.root, args.out, None if terms is None else [t.strip() for t in terms.split(",") if t.strip()]))
         return 0
     if args.command == "run-manifest":
-        document = run_manifest(spark, args.manifest, args.files, args.out, args.report)
+        document = run_manifest(spark, args.manifest, args.files, args.out, args.report, args.batch)
         print(json.dumps({"employees": document["employee_count"], "included": sum(e["counts"]["included"] for e in document["employees"])}))
         return 0
     rows = listing.pdf_matches(reports.read_index(spark, args.json)).collect()  # one person's files
     if not rows:
-        raise SystemExit("No PDFs found in JSON matches.")
+        raise SystemExit(f"{args.json} lists no PDF")
     for i, r in enumerate(rows, 1):
-        print(f"[{i}/{len(rows)}] {r['shown']}")
+        print(f"{i} of {len(rows)}: {r['shown']}")
     return 0
 
 

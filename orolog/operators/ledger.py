@@ -131,15 +131,16 @@ def nested(employees: DataFrame, items: DataFrame) -> DataFrame:
 def outcome(parsed: DataFrame, documents: DataFrame, out_dir: str) -> DataFrame:
     """Result items of a run: ``employee, employee_id, file_id, file_name, status, reason, outputs``.
 
-    `documents` are ``doc_id, employee, employee_id, file_id, file_name``; one without a file id fails without
-    being read, and is filed under its employee's own key.
+    `documents` are ``doc_id, employee, employee_id, file_id, file_name`` and, where a file may be unreadable, why in
+    ``unread``; one without a file id fails without being read, and is filed under its employee's own key.
     """
     name = X.shown_name(F.col("file_name"), F.col("file_id"))
     folder = F.concat_ws("/", F.lit(out_dir), X.safe_name(X.person_name(F.col("employee"))), X.file_tag(name, F.col("file_id")))
     path = lambda f: F.concat(folder, F.lit(f"/{f}"))
     missing = X.blank_to_null(F.col("file_id")).isNull()
+    unread = F.col("unread") if "unread" in documents.columns else F.lit(None).cast("string")
     joined = documents.join(parsed.select("doc_id", "status", "error"), "doc_id", "left")
     status = F.when(missing | F.coalesce(F.col("status") != "success", F.lit(True)), "failed").otherwise("success")
-    reason = F.when(missing, "missing file_id").otherwise(F.coalesce(F.col("error"), F.when(F.col("status").isNull(), "not read")))
+    reason = F.when(missing, "missing file_id").otherwise(F.coalesce(unread, F.col("error"), F.when(F.col("status").isNull(), "not read")))
     outputs = F.struct(path("days.csv").alias("days_csv"), path("pairs.csv").alias("pairs_csv"), path("totals.json").alias("totals_json"), path("report.json").alias("report_json"))
     return joined.select("doc_id", "employee", "employee_id", "file_id", name.alias("file_name"), status.alias("status"), F.when(status == "failed", reason).alias("reason"), F.when(status == "success", outputs).alias("outputs"))

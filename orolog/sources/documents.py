@@ -12,17 +12,27 @@ from orolog.functions import exprs as X
 
 
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:
-    """``path, modificationTime, length, content`` of one file, whatever it is called, or of the PDFs right in a folder."""
+    """``path, modificationTime, length, content`` of one file, whatever it is called, or of the PDFs in a folder and below it."""
     reader = spark.read.format("binaryFile")
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+    if not is_folder(spark, path):
         return reader.load(path)
-    return reader.option("pathGlobFilter", "*.pdf").load(path)
+    return reader.option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", True).load(path)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def any_file(spark: SparkSession, path: str, glob: str) -> bool:
+    """Whether a folder, or one below it, has a file of such a name."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path")
+    return not found.isEmpty()
 
 
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """``doc_id, text`` of whole text files; doc_id is the path."""
-    read = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+    read = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path, wholetext=True)
     return read.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
 
 
@@ -41,7 +51,7 @@ def pdf_texts(files: DataFrame) -> DataFrame:
                 try:
                     rows.append((path, text_of(bytes(content)), None))
                 except PdfError as e:
-                    rows.append((path, None, str(e)))
+                    rows.append((path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["doc_id", "text", "error"])
 
     return files.select("path", "content").mapInPandas(read, "doc_id string, text string, error string")

@@ -176,3 +176,63 @@ def test_tables_and_stream(spark, tmp_path):
         (tmp_path / f"in/b{n}.txt").write_text(TEXT)
         incremental.parse_stream(incremental.incoming_texts(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/out").count() == wanted + 1
+
+
+def _manifest(path, n: int) -> str:
+    people = [{"employee": "Ada", "employee_id": "1", "included": [{"file_id": f"f{i}", "file_name": f"n{i}.pdf"} for i in range(n)]}]
+    path.write_text(json.dumps({"root_id": "root", "employees": people}))
+    return str(path)
+
+
+def test_a_killed_run_goes_on_after_its_last_batch(spark, tmp_path, monkeypatch):
+    content = tmp_path / "content/below"
+    content.mkdir(parents=True)
+    for i in range(5):
+        (content / f"f{i}.txt").write_text(TEXT)
+    path = _manifest(tmp_path / "manifest.json", 5)
+    run, batches = cli._run_batch, []
+
+    def killed(left, *rest):
+        if batches:
+            raise KeyboardInterrupt
+        batches.append(sorted(r["file_id"] for r in left.collect()))
+        return run(left, *rest)
+
+    monkeypatch.setattr(cli, "_run_batch", killed)
+    with pytest.raises(KeyboardInterrupt):
+        cli.run_manifest(spark, path, str(tmp_path / "content"), str(tmp_path / "done"), "report.json", batch=2)
+    assert [x["file_id"] for x in json.loads((tmp_path / "done/report.json").read_text())["employees"][0]["included"]] == ["f0", "f1"] == batches[0]
+    monkeypatch.setattr(cli, "_run_batch", lambda left, *rest: batches.append(sorted(r["file_id"] for r in left.collect())) or run(left, *rest))
+    done = cli.run_manifest(spark, path, str(tmp_path / "content"), str(tmp_path / "done"), "report.json", batch=2)
+    assert batches[1:] == [["f2", "f3"], ["f4"]] and [x["file_id"] for x in done["employees"][0]["included"]] == [f"f{i}" for i in range(5)]
+
+
+def test_a_broken_pdf_says_why(spark, tmp_path, capsys):
+    content = tmp_path / "content"
+    content.mkdir()
+    (content / "f0.pdf").write_bytes(b"%PDF-1.4 broken")
+    (content / "f1.pdf").write_bytes(small_pdf(TEXT))
+    done = cli.run_manifest(spark, _manifest(tmp_path / "manifest.json", 3), str(content), str(tmp_path / "done"), "report.json")
+    skipped = {x["file_id"]: x["reason"] for x in done["employees"][0]["skipped"]}
+    assert skipped["f0"].startswith("PdfError: ") and skipped["f2"] == "not read" and [x["file_id"] for x in done["employees"][0]["included"]] == ["f1"]
+    assert cli.parse(spark, str(content), str(tmp_path / "out")) == 1 and "PdfError: " in capsys.readouterr().out
+
+
+def test_deep_trees_go_on_and_loops_are_found(spark, monkeypatch):
+    schema = "id string, parent_id string, name string, mime_type string, trashed boolean"
+    deep = [(f"d{i}", f"d{i - 1}" if i else "root", f"level {i}", listing.FOLDER, False) for i in range(9)]
+    held: list = []
+    _, items, _ = listing.scan(spark.createDataFrame([*deep, ("f", "d8", "July.pdf", listing.PDF, False)], schema), "root", held=held)
+    assert [r["file_id"] for r in items.collect()] == ["f"] and len(held) == 10
+    for df in held:
+        df.unpersist()
+    loop = [("a", "root", "A", listing.FOLDER, False), ("b", "a", "B", listing.FOLDER, False), ("c", "b", "C", listing.FOLDER, False), ("b", "c", "B", listing.FOLDER, False)]
+    monkeypatch.setattr(listing, "LOOKED_AT", 2)
+    with pytest.raises(ValueError, match="within itself"):
+        listing.scan(spark.createDataFrame(loop, schema), "root")
+
+
+def test_terms_may_be_given(spark, tree, tmp_path):
+    path = cli.catalog_scan(spark, tree, "root", str(tmp_path / "scan"), ["july"])
+    skipped = [x for e in json.loads(open(path).read())["employees"] for x in e["skipped"]]
+    assert skipped and all(x["reason"] == "july" for x in skipped)
