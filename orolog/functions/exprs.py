@@ -32,6 +32,7 @@ TOTALS = {
 # Shifts by their middle, in minutes of the day.
 SHIFTS = {"Mattina": 480, "Pomeriggio": 840, "Notte": 1200}
 
+# Patterns of the form's day lines, clock events and header lines.
 DAY_HEAD = rf"^(0[1-9]|[12][0-9]|3[01])[{SPACES}]+({'|'.join(WEEKDAYS)})(?![{WORDLY}])"
 EVENT = rf"(?<![{WORDLY}])([EU])[{SPACES}]*\(?([0-9]{{2}}:[0-9]{{2}})\)?"
 HEADER = rf"RIEPILOGO PRESENZE/ASSENZE[{SPACES}]*-[{SPACES}]*([A-Z]+)[{SPACES}]+([0-9]{{4}})"

@@ -24,7 +24,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.parse_documents(synth.timesheets(_table(spark, sf_dir, "events")))
+    """Parsed forms. They are few bytes but dear to parse, so they are dealt out by rows: exchanges coalesce by bytes."""
+    docs = synth.timesheets(_table(spark, sf_dir, "events"))
+    return S.parse_documents(docs.repartition(spark.sparkContext.defaultParallelism))
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +47,8 @@ def event_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_pairs_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same pairs from events that are rows already."""
-    e = _table(spark, sf_dir, "events").where(F.col("user_id") % synth.NO_DAYS_EVERY != 0)
+    """The pairs of all users, from events that are rows already."""
+    e = _table(spark, sf_dir, "events")
     kind = F.when(F.col("event_type").isin("click", "signup"), "E").when(F.col("event_type").isin("view", "purchase"), "U")
     day = F.to_date("ts")
     minute = F.timestamp_add("MINUTE", F.hour("ts") * 60 + F.minute("ts"), day.cast("timestamp_ntz"))
@@ -139,6 +141,35 @@ def employee_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", X.employee_name(text).alias("employee_name"), X.employee_number(text).alias("employee_id"))
 
 
+def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of a form's header, those that are never filled included."""
+    c = _table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    month = F.element_at(F.array(*map(F.lit, [*X.MONTHS, "MAGGIOX"])), (k % 13 + 1).cast("int"))
+    name = F.translate(F.upper("c_name"), "#0123456789", " ABCDEFGHIJ")
+    text = F.concat(F.lit("RIEPILOGO PRESENZE/ASSENZE -"), month, F.lit(" "), (2000 + k % 30).cast("string"), F.lit("\n"), name, F.lit(" - "), (k * 3).cast("string"))
+    return c.select("c_custkey", X.header(text).alias("h")).select("c_custkey", "h.*")
+
+
+def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms with events above the first day, and day lines with too few numbers for a record, whose events count all the same."""
+    k = F.col("c_custkey")
+    early = F.when(k % 2 == 0, "E 05:00 U 05:30\n").otherwise("")
+    numbers = F.array_join(F.slice(F.array(*(F.lit(f"{n}.00") for n in range(1, 5))), F.lit(1), (k % 5).cast("int")), " ")
+    text = F.concat(early, F.lit("01 LU E 08:00 U 09:00 | "), numbers, F.lit("\n02 MA E 10:00 | 1.00 2.00 3.00\nU 11:00"))
+    parsed = S.parse_documents(_table(spark, sf_dir, "customer").select(k.alias("doc_id"), text.alias("text")))
+    days = F.array_join(F.transform("days", lambda d: d["day"].cast("string")), ",")
+    pairs = F.array_join(F.transform("pairs", lambda p: F.concat_ws("/", p["day"].cast("string"), p["pair_index"].cast("string"))), ",")
+    return parsed.select(F.col("doc_id").alias("c_custkey"), days.alias("days"), pairs.alias("pairs"), F.expr("coalesce(try_element_at(days, 1).mo_lav, 0)").alias("first_worked"))
+
+
+def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest that lists keys several times: the last occurrence gives the values, the first the place."""
+    o = _table(spark, sf_dir, "orders")
+    people = o.select(F.col("o_orderkey").alias("seq"), F.concat(F.lit("N "), F.col("o_orderkey").cast("string")).alias("employee"), F.col("o_custkey").cast("string").alias("employee_id"))
+    return ledger.base_employees(people)
+
+
 def normalize_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.concat(F.lit("  "), F.translate("url", "/", " ")).alias("x"))
     q = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("part").alias("kind"), F.concat_ws("__", "p_type", "p_name").alias("x"))
@@ -308,7 +339,7 @@ def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL: tuple[Query, ...] = (
     hours_per_user_day, event_pairs, event_pairs_rows, pair_durations, shift_label, unmatched_events, overnight_rollover, day_runs, day_lines, numeric_tokens,
-    line_scan, hhmm_decimal, totals_map, totals_wide, validation, status_summary, month_lookup, employee_header, normalize_terms, file_exclusion,
+    line_scan, hhmm_decimal, totals_map, totals_wide, validation, status_summary, month_lookup, employee_header, header_fields, odd_lines, repeated_keys, normalize_terms, file_exclusion,
     tree_walk, folder_exclusion, scan_items, scan_counts, file_type_filter, safe_names, file_tags, employee_keys, report_merge, legacy_merge,
     finalize_counts, cached_anti_join, sorted_index, report_json, manifest_json,
 )

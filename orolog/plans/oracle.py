@@ -100,7 +100,12 @@ _NAME_SQL = f"""CASE WHEN c_custkey % 9 = 0 THEN 'É' ELSE '' END || translate(u
 SQL: dict[str, str] = {
     "hours_per_user_day": _PAIRS + "SELECT doc_id, day, sum(coalesce(minutes, 0))::BIGINT AS minutes, count(*) AS n_pairs, count(minutes) AS n_closed FROM q GROUP BY doc_id, day",
     "event_pairs": _PAIRS + "SELECT doc_id, day, pair_index, entry_ts, exit_ts FROM q",
-    "event_pairs_rows": _PAIRS + "SELECT doc_id, day, pair_index, entry_ts, exit_ts FROM q",
+    "event_pairs_rows": _PAIRS.replace(" AND user_id % 11 <> 0", "") + "SELECT doc_id, day, pair_index, entry_ts, exit_ts FROM q",
+    "header_fields": f"""SELECT c_custkey, CASE WHEN c_custkey * 3 >= 1000 THEN rtrim(translate(upper(c_name), '#0123456789', ' ABCDEFGHIJ')) END AS employee_name, CASE WHEN c_custkey * 3 >= 1000 THEN (c_custkey * 3)::VARCHAR END AS employee_id,
+  CASE WHEN c_custkey % 13 = 12 THEN 'MAGGIOX' ELSE {_MONTHS}[c_custkey % 13 + 1] END AS month_name, CASE WHEN c_custkey % 13 < 12 THEN (c_custkey % 13 + 1)::INTEGER END AS month, (2000 + c_custkey % 30)::INTEGER AS year,
+  NULL::VARCHAR AS unit, NULL::VARCHAR AS turno, NULL::VARCHAR AS qualifica FROM customer""",
+    "odd_lines": """SELECT c_custkey, CASE WHEN c_custkey % 5 >= 3 THEN '1,2' ELSE '2' END AS days, '1/0,2/0' AS pairs, CASE c_custkey % 5 WHEN 4 THEN 4.0 ELSE 3.0 END::DOUBLE AS first_worked FROM customer""",
+    "repeated_keys": """SELECT 'id:' || o_custkey AS key, min(o_orderkey) AS place, max(o_orderkey) AS from_seq, 'N ' || max(o_orderkey) AS employee, o_custkey::VARCHAR AS employee_id FROM orders GROUP BY o_custkey""",
     "pair_durations": _PAIRS + "SELECT doc_id, day, pair_index, printf('%02d:%02d', minutes // 60, minutes % 60) AS duration_hhmm, minutes FROM q",
     "shift_label": _PAIRS + """, s AS (SELECT *, hour(entry_ts) * 60 + minute(entry_ts) AS m FROM q)
 SELECT doc_id, day, pair_index, CASE WHEN m IS NULL THEN NULL WHEN abs(m - 480) <= abs(m - 840) AND abs(m - 480) <= abs(m - 1200) THEN 'Mattina' WHEN abs(m - 840) <= abs(m - 1200) THEN 'Pomeriggio' ELSE 'Notte' END AS turno FROM s""",
