@@ -165,7 +165,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--listing", required=True, help="a folder (root: 'root'), or Parquet or JSON lines: id, parent_id, name, mime_type, trashed")
     a.add_argument("--root", required=True)
     a.add_argument("--out", default="scan")
-    a.add_argument("--terms", help="terms that exclude files and folders, comma-separated, in order (default: those built in; ORO_TERMS if set)")
+    a.add_argument("--terms", help="terms that exclude files and folders, comma-separated, in order (default: those built in; OROLOG_TERMS if set)")
     a = sub.add_parser("run-manifest", help="parse a manifest's files that have no result yet")
     a.add_argument("--manifest", required=True)
     a.add_argument("--files", required=True)
@@ -181,7 +181,7 @@ def main(argv: list[str] | None = None) -> int:
         return 1 if parse(spark, args.input, args.out) else 0
     if args.command == "catalog-scan":
         table = listing_table(spark, args.listing)
-        terms = args.terms if args.terms is not None else os.environ.get("ORO_TERMS")
+        terms = args.terms if args.terms is not None else os.environ.get("OROLOG_TERMS")
         print(catalog_scan(spark, table, args.root, args.out, None if terms is None else [t.strip() for t in terms.split(",") if t.strip()]))
         return 0
     if args.command == "run-manifest":
