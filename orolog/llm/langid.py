@@ -143,6 +143,28 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int,
     return [(a, b, path[a]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+class Rows:
+    """Rows of numbers as an array that grows by doubling, so that adding some to many doesn't copy the many."""
+
+    def __init__(self, width: int, kind: type) -> None:
+        self.array = np.zeros((1024, width), dtype=kind)
+        self.new: list[tuple] = []
+        self.n = 0
+
+    def __len__(self) -> int:
+        return self.n + len(self.new)
+
+    def all(self) -> np.ndarray:
+        if self.new:
+            if len(self) > len(self.array):
+                more = np.zeros((2 * len(self), self.array.shape[1]), dtype=self.array.dtype)
+                more[: self.n] = self.array[: self.n]
+                self.array = more
+            self.array[self.n : len(self)] = self.new
+            self.n, self.new = len(self), []
+        return self.array
+
+
 class Labeller:
     """Scores words once, and labels texts. A script's words have a table of their own, as wide as the script has candidates."""
 
@@ -154,36 +176,24 @@ class Labeller:
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.kinds: list[str] = [""]  # the first for words that no language reads
-        self.tables: list[list[list[float]]] = [[[]]]
-        self.arrays: dict[int, np.ndarray] = {}
-        self.facts: list[tuple[int, int, int]] = []  # of each word: place of its script, place in that table, letters
-        self.fact_array = np.zeros((0, 3), dtype=np.int64)
+        self.tables: list[Rows] = [Rows(1, np.float64)]  # scores of each script's words
+        self.facts = Rows(3, np.int64)  # of each word: place of its script, place in that table, letters
         self.cells = 0
 
     def _add(self, word: str) -> None:
         letters = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         kind, scores = self.model.scored(word) if letters else ("", [])
+        k = 0
         if scores:
             if kind not in self.kinds[1:]:
                 self.kinds.append(kind)
-                self.tables.append([])
+                self.tables.append(Rows(len(scores), np.float64))
             k = self.kinds.index(kind, 1)
-            self.tables[k].append(scores)
-            self.facts.append((k, len(self.tables[k]) - 1, letters))
-        else:
-            self.facts.append((0, 0, letters))
-        self.number[word] = len(self.facts) - 1
+            self.tables[k].new.append(scores)
+        self.number[word] = len(self.facts)
+        self.facts.new.append((k, len(self.tables[k]) - 1 if k else 0, letters))
         self.cells += len(scores) + 4
 
-    def table(self, k: int) -> np.ndarray:
-        """Scores of all words of a script; rows are added to the array as the list grows."""
-        old = self.arrays.get(k)
-        rows = self.tables[k]
-        if old is None or len(old) < len(rows):
-            new = np.array(rows[0 if old is None else len(old) :], dtype=np.float64)
-            self.arrays[k] = new if old is None else np.concatenate([old, new])
-        return self.arrays[k]
-
     def numbers(self, listed: list[str]) -> np.ndarray:
         if self.cells > CACHE_CELLS:
             self.forget()
@@ -193,9 +203,7 @@ class Labeller:
                 if w not in self.number:
                     self._add(w)
             found = list(map(self.number.get, listed))
-        if len(self.fact_array) < len(self.facts):
-            self.fact_array = np.concatenate([self.fact_array, np.array(self.facts[len(self.fact_array) :], dtype=np.int64)])
-        return self.fact_array[np.array(found, dtype=np.int64)]
+        return self.facts.all()[np.array(found, dtype=np.int64)]
 
     def scores(self, facts: np.ndarray) -> tuple[np.ndarray, list[int]]:
         """Scores of a text's words in the candidates of its scripts, and these candidates.
@@ -205,12 +213,12 @@ class Labeller:
         """
         present = [k for k in np.unique(facts[:, 0]).tolist() if k]
         if len(present) == 1 and facts[:, 0].all():
-            return self.table(present[0])[facts[:, 1]], self.model.candidates(self.kinds[present[0]])
+            return self.tables[present[0]].all()[facts[:, 1]], self.model.candidates(self.kinds[present[0]])
         columns = sorted({c for k in present for c in self.model.candidates(self.kinds[k])}) or [0]
         out = np.zeros((len(facts), len(columns)))
         for k in present:
             at = np.flatnonzero(facts[:, 0] == k)
-            own = self.table(k)[facts[at, 1]]
+            own = self.tables[k].all()[facts[at, 1]]
             out[at] = (own.min(1) - facts[at, 2])[:, None]
             out[np.ix_(at, np.searchsorted(columns, self.model.candidates(self.kinds[k])))] = own
         return out, columns
