@@ -41,6 +41,10 @@ def shared_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/orolog-{spark.sparkContext.applicationId}"
 
 
+#: Paths of the tables that this driver has written, in order.
+_written: list[str] = []
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, and it survives lost executors."""
     spark = df.sparkSession
@@ -49,9 +53,23 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)  # with the driver, as results may be read till then
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """Number of tables that `cut` has written."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Delete the tables that `cut` has written since there were `since`, but for the last: what they led to is in it."""
+    for path in _written[since:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written[since:-1] = []
+
+
 def columns(df: DataFrame, names: list[str] | None = None) -> list[Column]:
     """Columns by their exact names, whatever characters these have."""
     return [df[f"`{n.replace('`', '``')}`"] for n in names or df.columns]

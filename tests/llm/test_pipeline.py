@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pytest
 
 import corpus_pipeline as C
 from orolog.llm import decontaminate, mixing
+from orolog.llm._shared import shared_root
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -86,7 +88,10 @@ def test_run_and_stage_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in C.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == columns
+    before = set(os.listdir(shared_root(spark)))
     got = C.run(spark, sf).collect()
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(shared_root(spark))) - before}
+    assert left == {"mix", "shard-sums"}  # the last stage's input and its own table
     assert got and all(decontaminate.words(r["text"]) for r in got)
     assert {zlib.crc32(r["text"].encode()) for r in got}
 
