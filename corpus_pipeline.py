@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orolog.llm import decontaminate, langid, mixing, near_copies, sharding
-from orolog.llm._shared import cut, documents, held_out
+from orolog.llm._shared import cut, documents, held_out, release, written
 
 #: A document goes if no language is found or the one found scores less.
 LEAST_LANGUAGE = 0.35
@@ -60,7 +60,8 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of `sf_dir`."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), written()
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
+        release(spark, before)  # the tables that led to it
     return STAGES[-1][1](spark, docs, sf_dir)
