@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -39,6 +40,25 @@ HEADER = rf"RIEPILOGO PRESENZE/ASSENZE[{SPACES}]*-[{SPACES}]*([A-Z]+)[{SPACES}]+
 EMPLOYEE = rf"(?md)^([A-Z' ]+?)[{SPACES}]*-[{SPACES}]*([0-9]{{4,}})"
 
 
+def running(values: Column, first: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array under an associative `join` whose neutral element is `first`.
+
+    Step k joins each element with the one 2**k places before it: n log n in all, where a fold that appends to its
+    result copies it for every element. `values` is worked out once.
+    """
+
+    def step(done: Column, gap: Column) -> Column:
+        shifted = F.concat(F.array_repeat(first, gap), F.slice(done, 1, F.size(done) - gap))
+        return F.when(F.size(done) > gap, F.zip_with(shifted, done, join)).otherwise(done)
+
+    return F.aggregate(F.split(F.lit(",".join(str(1 << k) for k in range(31))), ",").cast("array<int>"), values, step)
+
+
+def before(values: Column, first: Column) -> Column:
+    """Each element's predecessor, the first one's being `first`."""
+    return F.slice(F.concat(F.array(first), values), 1, F.size(values))
+
+
 def blank_to_null(x: Column) -> Column:
     return F.nullif(x, F.lit(""))
 

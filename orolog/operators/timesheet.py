@@ -15,6 +15,9 @@ from orolog.functions import exprs as X
 TOLERANCE = 0.05
 FEW_NUMBERS = 3
 
+#: What stands above the first day head.
+NO_HEAD_SQL = "named_struct('day', cast(null as int), 'dow', cast(null as string))"
+
 NO_DAYS = "no day lines found"
 BAD_TIME = "impossible time or date on a clock event"
 
@@ -49,25 +52,31 @@ def days(marked: Column) -> Column:
     )
 
 
-def events(marked: Column) -> Column:
+def told_lines(marked: Column) -> Column:
+    """Lines that begin with a day or tell of events, with these."""
+    told = F.transform(marked, lambda x: F.struct(x["day"].alias("day"), x["dow"].alias("dow"), X.event_tokens(x["raw"]).alias("tokens"), x["raw"].alias("raw")))
+    return F.filter(told, lambda x: x["day"].isNotNull() | (F.size(x["tokens"]) > 0))
+
+
+def heads(told: Column) -> Column:
+    """For each line the day head that it stands under; null above the first."""
+    return X.running(F.transform(told, lambda x: F.struct(x["day"].alias("day"), x["dow"].alias("dow"))), F.expr(NO_HEAD_SQL), lambda a, b: F.when(b["day"].isNull(), a).otherwise(b))
+
+
+def runs(under: Column) -> Column:
+    """For each line its run, from 1; 0 above the first head."""
+    changed = F.zip_with(under, X.before(under, F.expr(NO_HEAD_SQL)), lambda now, last: F.when(now["day"].isNull() | (now["day"].eqNullSafe(last["day"]) & now["dow"].eqNullSafe(last["dow"])), 0).otherwise(1))
+    return X.running(changed, F.lit(0), lambda a, b: a + b)
+
+
+def events(told: Column, under: Column) -> Column:
     """Clock events in order, each with its run.
 
     A run begins at a day head whose day and weekday differ from those of the run before; a repeated head goes
     on with it. Lines before the first head belong to none, and their events are left out.
     """
-    told = F.transform(marked, lambda x: F.struct(x["day"].alias("day"), x["dow"].alias("dow"), X.event_tokens(x["raw"]).alias("tokens"), x["raw"].alias("raw")))
-    told = F.filter(told, lambda x: x["day"].isNotNull() | (F.size(x["tokens"]) > 0))
-    none = F.array().cast("array<struct<run: int, day: int, dow: string>>")
-    start = F.struct(F.struct(F.lit(0).alias("run"), F.lit(None).cast("int").alias("day"), F.lit(None).cast("string").alias("dow")).alias("now"), none.alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        now = state["now"]
-        same = x["day"].isNull() | (x["day"].eqNullSafe(now["day"]) & x["dow"].eqNullSafe(now["dow"]))
-        moved = F.when(same, now).otherwise(F.struct((now["run"] + 1).alias("run"), x["day"].alias("day"), x["dow"].alias("dow")))
-        return F.struct(moved.alias("now"), F.concat(state["out"], F.array(moved)).alias("out"))
-
-    runs = F.aggregate(told, start, step, lambda s: s["out"])
-    lined = F.filter(F.zip_with(told, runs, lambda x, r: F.struct(r.alias("r"), x["tokens"].alias("tokens"), x["raw"].alias("raw"))), lambda x: x["r"]["run"] > 0)
+    placed = F.zip_with(under, runs(under), lambda h, run: F.struct(run.alias("run"), h["day"].alias("day"), h["dow"].alias("dow")))
+    lined = F.filter(F.zip_with(told, placed, lambda x, r: F.struct(r.alias("r"), x["tokens"].alias("tokens"), x["raw"].alias("raw"))), lambda x: x["r"]["run"] > 0)
     spread = lambda x: F.transform(x["tokens"], lambda t: F.struct(x["r"]["run"].alias("run"), x["r"]["day"].alias("day"), x["r"]["dow"].alias("dow"), t["kind"].alias("kind"), t["time"].alias("time"), x["raw"].alias("raw")))
     return F.flatten(F.transform(lined, spread))
 
@@ -80,9 +89,13 @@ def neighbours(found: Column) -> Column:
     return F.transform(known, lambda x: F.struct(x["e"].alias("e"), F.when(x["p"]["run"] == x["e"]["run"], x["p"]).alias("p"), F.when(x["n"]["run"] == x["e"]["run"], x["n"]).alias("n")))
 
 
-def pairs(near: Column, year: Column, month: Column) -> Column:
+def paired(near: Column) -> Column:
+    """The events that a pair begins with: entries, and exits without one."""
+    return F.filter(near, lambda x: (x["e"]["kind"] == "E") | x["p"].isNull() | (x["p"]["kind"] == "U"))
+
+
+def pairs(kept: Column, year: Column, month: Column) -> Column:
     """Entries and exits of one run paired in order: an entry takes the exit that follows it, and either may stay alone."""
-    kept = F.filter(near, lambda x: (x["e"]["kind"] == "E") | x["p"].isNull() | (x["p"]["kind"] == "U"))
     sided = F.transform(kept, lambda x: F.struct(x["e"]["run"].alias("run"), x["e"]["day"].alias("day"), x["e"]["dow"].alias("dow"), F.when(x["e"]["kind"] == "E", x["e"]).alias("entry"), F.when(x["e"]["kind"] == "U", x["e"]).when(x["n"]["kind"] == "U", x["n"]).alias("exit")))
     timed = F.transform(
         sided,
@@ -99,14 +112,9 @@ def pairs(near: Column, year: Column, month: Column) -> Column:
     rolled = F.transform(timed, lambda x: x.withField("exit_ts", X.rolled_over(x["entry_ts"], x["exit_ts"])))
     lasting = F.transform(rolled, lambda x: x.withField("minutes", X.minutes_between(x["entry_ts"], x["exit_ts"]).cast("long")).withField("turno", X.shift(x["entry_ts"])))
     placed = F.transform(lasting, lambda x, i: x.withField("duration_hhmm", X.hhmm_text(x["minutes"])).withField("place", i))
-    start = F.struct(F.lit(0).alias("run"), F.lit(-1).alias("n"), F.array().cast("array<int>").alias("out"))
-
-    def count(state: Column, x: Column) -> Column:
-        n = F.when(x["run"] == state["run"], state["n"] + 1).otherwise(0)
-        return F.struct(x["run"].alias("run"), n.alias("n"), F.concat(state["out"], F.array(n)).alias("out"))
-
-    numbers = F.aggregate(F.transform(kept, lambda x: F.struct(x["e"]["run"].alias("run"))), start, count, lambda s: s["out"])
-    return F.zip_with(placed, numbers, lambda x, n: x.withField("pair_index", n))
+    run = F.transform(kept, lambda x: x["e"]["run"])
+    began = F.transform(F.arrays_zip(run.alias("now"), X.before(run, F.lit(0)).alias("last")), lambda x, i: F.when(x["now"] == x["last"], 0).otherwise(i))
+    return F.zip_with(placed, X.running(began, F.lit(0), lambda a, b: F.greatest(a, b)), lambda x, at: x.withField("pair_index", x["place"] - at))
 
 
 def validation(day_records: Column, printed: Column) -> Column:
@@ -131,7 +139,9 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     read = read.select("doc_id", X.header(F.col("text")).alias("meta"), F.split("text", X.LINE_BREAK).alias("parts"), X.totals(F.col("text")).alias("found_totals"))
     read = read.select("doc_id", "meta", "found_totals", marked_lines(X.whole_lines(F.col("parts"))).alias("marked"))
-    read = read.select("doc_id", "meta", "found_totals", days(F.col("marked")).alias("found_days"), events(F.col("marked")).alias("events"))
+    read = read.select("doc_id", "meta", "found_totals", days(F.col("marked")).alias("found_days"), told_lines(F.col("marked")).alias("told"))
+    read = read.select("*", heads(F.col("told")).alias("under"))
+    read = read.select("doc_id", "meta", "found_totals", "found_days", events(F.col("told"), F.col("under")).alias("events"))
     year, month = F.col("meta.year"), F.col("meta.month")
     bad = F.exists("events", lambda e: X.bad_moment(year, month, e["day"], e["time"]))
     error = F.when(F.size("found_days") == 0, NO_DAYS).when(bad, BAD_TIME)
@@ -141,6 +151,7 @@ def parse_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     none = lambda c: F.when(fine, F.col(c)).otherwise(F.slice(c, 1, 0)).alias(c)
     read = read.select("doc_id", "error", "meta", F.when(fine, F.col("found_totals")).alias("totals"), none("found_days"), none("events"))
     read = read.select("doc_id", "error", "meta", "totals", "found_days", neighbours(F.col("events")).alias("near"))
+    read = read.withColumn("near", paired(F.col("near")))
     checked = validation(F.col("found_days"), F.try_element_at("totals", F.lit("ore_lavorate")))
     return read.select(
         "doc_id",
