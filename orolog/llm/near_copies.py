@@ -136,7 +136,7 @@ def _dealt(spread: DataFrame) -> DataFrame:
     return rows.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "key", "fp")
 
 
-def _walk(every: bool, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _walk(every: bool, limit: int, levels: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (bucket, tile, side, key, next, fp, n[, root, prints]) to proposed pairs (a, b, bucket, part): a forest of each bucket, or every pair of different roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +162,15 @@ def _walk(every: bool, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
                     at = np.flatnonzero(good)
                     for k in range(0, len(at), 1 << 14):
                         part = at[k : k + (1 << 14)]
-                        good[part] = np.bitwise_count(prints[a[part]] ^ prints[b[part]]).sum(axis=1, dtype=np.int64) <= limit
+                        apart = prints[a[part]] ^ prints[b[part]]
+                        bits = np.bitwise_count(apart).astype(np.int64)
+                        good[part] = bits.sum(axis=1) <= limit
+                        near_in = (bits <= BUDGET) & (np.roll(bits, -1, axis=1) <= CHECK)
+                        now = rows[a[part], 0] >> 32
+                        for t in range(int(now.max(initial=0))):  # a pair is proposed by the first trie that finds it, and by no other
+                            f, shift = t // (BITS // levels), np.uint64(levels * (t % (BITS // levels)))
+                            there = near_in[:, f] & ((apart[:, f] >> shift) & np.uint64((1 << levels) - 1) == 0)
+                            good[part] &= ~(there & (t < now))
                 return good
 
             found = np.array(simhash.trie_join(np.ascontiguousarray(keys), roots, BUDGET, alike, rows[:, 7] if every else None), dtype=np.int64).reshape(-1, 2)
@@ -193,11 +201,11 @@ def _walk(every: bool, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def _proposed(spread: DataFrame, every: bool, limit: int) -> DataFrame:
+def _proposed(spread: DataFrame, every: bool, limit: int, levels: int) -> DataFrame:
     """Distinct proposed pairs ``a, b`` with the place where they are compared, the first bucket that proposes them."""
     dealt = _dealt(spread)
     columns = ["bucket", "tile", "side", "key", "next", "fp", "n", *(["root", "prints"] if every else [])]
-    pairs = dealt.select(*columns).mapInArrow(_walk(every, limit), "a long, b long, bucket long, part long")
+    pairs = dealt.select(*columns).mapInArrow(_walk(every, limit, levels), "a long, b long, bucket long, part long")
     return cut(pairs.groupBy("a", "b").agg(F.min(F.struct("bucket", "part")).alias("at")).select("a", "b", "at.bucket", "at.part"), "near-pairs")
 
 
@@ -251,13 +259,13 @@ def links(df: DataFrame, distinct: DataFrame, size: tuple[int, int, int], id_col
     levels, tries, n = size
     bits = n * BITS
     limit = round(bits * (1 - AGREE) + SPARE * sqrt(bits * AGREE * (1 - AGREE)))
-    forest = _proposed(_spread(distinct, levels, tries, n, []), False, limit)
+    forest = _proposed(_spread(distinct, levels, tries, n, []), False, limit, levels)
     sets = _sets(df, distinct, forest, id_col, text_col)
     first = cut(_alike(forest, sets), "near-links")
     roots = cut(simhash.components(first), "near-roots")
     met = sets.select("fp")  # whoever has a proposed partner has one in the forest
     rooted = distinct.join(met, "fp", "left_semi").join(roots, distinct["fp"] == roots["node"], "left").select("fp", "n", "prints", F.coalesce("root", "fp").alias("root"))
-    rest = _proposed(_spread(rooted, levels, tries, n, ["root", "prints"]), True, limit)
+    rest = _proposed(_spread(rooted, levels, tries, n, ["root", "prints"]), True, limit, levels)
     second = _alike(rest.join(forest.select("a", "b"), ["a", "b"], "left_anti"), sets)
     return cut(first.unionByName(second), "near-links-all")
 
