@@ -252,10 +252,11 @@ class Labeller:
 
 def sample(labelled: DataFrame, per_language: int = SAMPLE_DOCS) -> tuple[list[str], DataFrame]:
     """The languages, and the rows ``(doc_id, lang, text)`` of which about `per_language` of each stay, chosen by a hash of the id, or of the text where there is none."""
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # the languages, which the model keeps as well
+    counts = F.broadcast(labelled.sparkSession.createDataFrame([tuple(r) for r in found], "lang string, n long"))
     place = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))), F.lit(2**40))
     chosen = labelled.join(counts, "lang").where(place < F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")) * 2**40)
-    return sorted(r["lang"] for r in counts.select("lang").collect()), chosen.select("doc_id", "lang", "text")
+    return sorted(r["lang"] for r in found), chosen.select("doc_id", "lang", "text")
 
 
 def train(labelled: DataFrame) -> Model:
