@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from orolog.llm._shared import SLICE_ROWS
+from orolog.llm._shared import SLICE_ROWS, held, map_batches
 
 WINDOW = 10
 #: Words of an anchor.
@@ -212,15 +212,9 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -
     yield block
 
 
-#: The automaton that this process built last, by its block's key: tasks of one process share it.
-_built: dict[str, Scanner] = {}
-
-
 def _scanner(key: str, shared, width: int) -> Scanner:
-    if key not in _built:
-        _built.clear()
-        _built[key] = Scanner(shared.value, width)
-    return _built[key]
+    """The automaton of one block that tasks of this process share; one at a time is held."""
+    return held(key, lambda: Scanner(shared.value, width))
 
 
 def _shared_blocks(df: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_chars: int) -> list[tuple]:
@@ -232,26 +226,26 @@ def _shared_blocks(df: DataFrame, benchmark: DataFrame, item_col: str, item_text
 def _scanned(batches: Iterable[pa.RecordBatch], at: int, parts: list[tuple], width: int) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
     """Every batch with what `scan` gives for its texts in column `at`, over all blocks."""
 
-    def through(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
-        found: list[list] = [[None] * b.num_rows for b in held]
+    def through(waiting: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+        found: list[list] = [[None] * b.num_rows for b in waiting]
         for key, shared in parts:
             scanner = _scanner(key, shared, width)
-            for batch, row in zip(held, found, strict=True):
+            for batch, row in zip(waiting, found, strict=True):
                 for i, text in enumerate(batch.column(at)):
                     n, ranges, items = scanner.scan(text.as_py())
                     if row[i] is not None and (ranges or row[i][1]):
                         ranges, items = merged([*ranges, *row[i][1]]), items | row[i][2]
                     row[i] = (n, ranges, items)
-        yield from zip(held, found, strict=True)
+        yield from zip(waiting, found, strict=True)
 
-    held, size = [], 0
+    waiting, size = [], 0
     for batch in batches:
-        held.append(batch)
+        waiting.append(batch)
         size += batch.nbytes
         if len(parts) == 1 or size >= HELD_BYTES:
-            yield from through(held)
-            held, size = [], 0
-    yield from through(held)
+            yield from through(waiting)
+            waiting, size = [], 0
+    yield from through(waiting)
 
 
 def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -273,7 +267,7 @@ def find_overlap(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
             out = [[n for n, _, _ in found], [sum(b - a for a, b in r) for _, r, _ in found], [len(i) for *_, i in found], [sorted(i) for *_, i in found], [[{"first": a, "end": b} for a, b in r] for _, r, _ in found]]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow[0].type), *(pa.array(v, f.type) for v, f in zip(out, list(arrow)[1:], strict=True))], schema=arrow)
 
-    return df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")).mapInArrow(run, schema)
+    return map_batches(df.select(df[id_col].alias("doc_id"), df[text_col].alias("text")), run, schema)
 
 
 def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -286,4 +280,4 @@ def drop_overlap(df: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         for batch, found in _scanned(batches, at, parts, width):
             yield batch.filter(pa.array([not ranges for _, ranges, _ in found], pa.bool_()))
 
-    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+    return map_batches(plain, run, plain.schema).toDF(*df.columns)

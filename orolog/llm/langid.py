@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orolog.llm._shared import keep_rows, map_rows
+from orolog.llm._shared import held, keep_rows, map_batches, map_rows
 
 UNDETERMINED = "und"
 #: Expected number of labelled documents of each language that the model is fitted on (fewer where there are fewer).
@@ -284,7 +284,7 @@ def train(labelled: DataFrame) -> Model:
                     seen.clear()
         yield out()
 
-    grams = chosen.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").where("n > 0")
+    grams = map_batches(chosen.select("lang", "text"), count, "lang string, gram string, n long").where("n > 0")
     if not languages:
         return Model([], {}, [])
     place = {x: k for k, x in enumerate(languages)}
@@ -301,15 +301,9 @@ def train(labelled: DataFrame) -> Model:
     return Model(languages, table, scripts)
 
 
-#: The labeller that this process made last, by its model's key: tasks of one process share its words.
-_made: dict[str, Labeller] = {}
-
-
 def _labeller(key: str, shared) -> Labeller:
-    if key not in _made:
-        _made.clear()
-        _made[key] = Labeller(shared.value)
-    return _made[key]
+    """The labeller that tasks of this process share for one model, with its words."""
+    return held(key, lambda: Labeller(shared.value))
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,8 @@ small, and the number of tries with the levels, so that a pair at the limit is f
 Texts of one shingle set are one member from the start. Pairs are compared in two rounds. The first takes a spanning
 forest of what each subtrie proposes, so that a large group of near copies costs its size and not its square. The second takes
 all proposed pairs of members that the first has not put into one component, so that none is left out; there the bits of all
-fingerprints together tell most pairs below the limit, before any set is looked at.
+fingerprints together tell most pairs below the limit, before any set is looked at. These pairs are never rows: a first walk
+tells which members are in any, and a second walk has their sets with them, compares and returns a forest of the links.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orolog.llm import simhash
-from orolog.llm._shared import cut, map_rows, partitions
+from orolog.llm._shared import cut, map_batches, map_rows, partitions
 from orolog.llm.simhash import BITS
 
 WIDTH = 5
@@ -48,6 +49,8 @@ SEED = 42
 HELD_SETS = 64
 #: Rows of subtries that a task walks at once.
 WALK_ROWS = 1 << 15
+#: Bytes of their shingle sets, where these come along.
+WALK_BYTES = 1 << 24
 
 
 def shape(n: int) -> tuple[int, int, int]:
@@ -70,6 +73,9 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(np.fromiter((digest(join(r), SEED) for r in zip(*(words[i:] for i in range(width)), strict=False)), dtype="<u8", count=len(words) - width + 1))
 
 
+#: A row of a member in a trie.
+MET = ["bucket", "tile", "side", "key", "next", "fp", "n", "root"]
+
 #: Of each byte, its bits as eight counters of eight bits.
 _COUNTERS = np.array([sum((b >> k & 1) << 8 * k for k in range(8)) for b in range(256)], dtype="<u8")
 
@@ -136,15 +142,19 @@ def _dealt(spread: DataFrame) -> DataFrame:
     return rows.repartition(partitions(spark), "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "key", "fp")
 
 
-def _walk(every: bool, limit: int, levels: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (bucket, tile, side, key, next, fp, n[, root, prints]) to proposed pairs (a, b, bucket, part): a forest of each bucket, or every pair of different roots."""
+def _walk(levels: int, limit: int | None = None, exact: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (bucket, tile, side, key, next, fp, n) to a forest of proposed pairs (a, b, bucket, part) of each bucket.
+
+    With a limit of bits rows have (root, prints) as well, pairs of one root are none, and the first eight columns of all rows that
+    are in any proposed pair come out; with `exact` rows have (root, prints, hashes), and a forest of the links (a, b) comes out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def walked(rows: np.ndarray, prints: np.ndarray | None) -> pa.RecordBatch:
+        def walked(rows: np.ndarray, prints: np.ndarray | None, sets: list[np.ndarray]) -> pa.RecordBatch:
             keys, near, fp, n = rows[:, 3].view(np.uint64), rows[:, 4].view(np.uint64), rows[:, 5], rows[:, 6]
             new = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
             cuts = [0, *new.tolist(), len(rows)]
-            roots, last = [], None
+            roots, last, met = [], None, np.zeros(len(rows), dtype=bool)
             for a, b in zip(cuts, cuts[1:], strict=False):
                 group, side = tuple(rows[a, :2].tolist()), rows[a, 2]
                 neg = a + int(np.count_nonzero(rows[a:b, 3] < 0))  # keys are ordered as signed numbers
@@ -171,44 +181,67 @@ def _walk(every: bool, limit: int, levels: int) -> Callable[[Iterator[pa.RecordB
                             f, shift = t // (BITS // levels), np.uint64(levels * (t % (BITS // levels)))
                             there = near_in[:, f] & ((apart[:, f] >> shift) & np.uint64((1 << levels) - 1) == 0)
                             good[part] &= ~(there & (t < now))
+                    if exact:
+                        at = np.flatnonzero(good)
+                        good[at] = [similar(sets[x], sets[y]) for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)]
+                    else:
+                        met[a[good]] = met[b[good]] = True
+                        good[:] = False  # pairs are counted by their members, and not kept
                 return good
 
-            found = np.array(simhash.trie_join(np.ascontiguousarray(keys), roots, BUDGET, alike, rows[:, 7] if every else None), dtype=np.int64).reshape(-1, 2)
+            found = np.array(simhash.trie_join(np.ascontiguousarray(keys), roots, BUDGET, alike, None if limit is None else rows[:, 7], every=False), dtype=np.int64).reshape(-1, 2)
+            if limit is not None and not exact:
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in rows[met].T], names=MET)
             a, b = fp[found[:, 0]], fp[found[:, 1]]
+            if exact:
+                return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
             size = np.diff(np.concatenate([new, [len(rows)]]), prepend=0)  # of each group
             held = np.maximum(1, size[np.searchsorted(new, found[:, 0], side="right")] // HELD_SETS)
             low = np.where(a < b, a, b)
             return pa.RecordBatch.from_arrays([pa.array(low), pa.array(np.where(a < b, b, a)), pa.array(rows[found[:, 0], 0]), pa.array((low.view(np.uint64) % held.astype(np.uint64)).astype(np.int64))], names=["a", "b", "bucket", "part"])
 
-        wide = 8 if every else 7
-        rows, prints = np.zeros((0, wide), dtype=np.int64), None
+        wide = 7 if limit is None else 8
+        rows, prints, sets = np.zeros((0, wide), dtype=np.int64), None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = np.concatenate([rows, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:wide]], axis=1)])
-            if every:
+            if limit is not None:
                 more = batch.column(8).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
                 prints = more if prints is None else np.concatenate([prints, more])
-            if len(rows) >= WALK_ROWS:
+            if exact:
+                sets += [np.frombuffer(x.as_buffer(), dtype="<u8").copy() for x in batch.column(9)]
+            if len(rows) >= WALK_ROWS or sum(x.nbytes for x in sets) >= WALK_BYTES:
                 group = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
                 done = int(np.flatnonzero(group)[-1]) + 1 if group.any() else 0
                 if done:
-                    yield walked(rows[:done], None if prints is None else prints[:done])
-                    rows, prints = rows[done:], None if prints is None else prints[done:]
+                    yield walked(rows[:done], None if prints is None else prints[:done], sets[:done])
+                    rows, prints, sets = rows[done:], None if prints is None else prints[done:], sets[done:]
         if len(rows):
-            yield walked(rows, prints)
+            yield walked(rows, prints, sets)
 
     return run
 
 
-def _proposed(spread: DataFrame, every: bool, limit: int, levels: int) -> DataFrame:
-    """Distinct proposed pairs ``a, b`` with the place where they are compared, the first bucket that proposes them."""
-    dealt = _dealt(spread)
-    columns = ["bucket", "tile", "side", "key", "next", "fp", "n", *(["root", "prints"] if every else [])]
-    pairs = dealt.select(*columns).mapInArrow(_walk(every, limit, levels), "a long, b long, bucket long, part long")
+def _proposed(spread: DataFrame, levels: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of the forests with the place where they are compared, the first bucket that proposes them."""
+    columns = ["bucket", "tile", "side", "key", "next", "fp", "n"]
+    pairs = map_batches(_dealt(spread).select(*columns), _walk(levels), "a long, b long, bucket long, part long")
     return cut(pairs.groupBy("a", "b").agg(F.min(F.struct("bucket", "part")).alias("at")).select("a", "b", "at.bucket", "at.part"), "near-pairs")
 
 
+def _met(spread: DataFrame, limit: int, levels: int) -> DataFrame:
+    """MET of the rows that are in any proposed pair of different roots: at most one row for each member, trie and tile."""
+    return map_batches(_dealt(spread).select(*MET, "prints"), _walk(levels, limit), ", ".join(f"{c} long" for c in MET))
+
+
+def _linked(met: DataFrame, rooted: DataFrame, sets: DataFrame, limit: int, levels: int) -> DataFrame:
+    """Links ``(a, b)`` of similar sets that join all proposed pairs of rows of `_met`; compared where the rows meet."""
+    known = rooted.select("fp", "prints").join(sets, "fp")
+    dealt = met.join(known, "fp").repartition(partitions(met.sparkSession), "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "key", "fp")
+    return map_batches(dealt.select(*MET, "prints", "hashes"), _walk(levels, limit, exact=True), "a long, b long")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar.
 
@@ -236,7 +269,7 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 b += [fp] * len(good)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return map_batches(dealt, run, "a long, b long")
 
 
 def _sets(df: DataFrame, distinct: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -259,15 +292,14 @@ def links(df: DataFrame, distinct: DataFrame, size: tuple[int, int, int], id_col
     levels, tries, n = size
     bits = n * BITS
     limit = round(bits * (1 - AGREE) + SPARE * sqrt(bits * AGREE * (1 - AGREE)))
-    forest = _proposed(_spread(distinct, levels, tries, n, []), False, limit, levels)
+    forest = _proposed(_spread(distinct, levels, tries, n, []), levels)
     sets = _sets(df, distinct, forest, id_col, text_col)
     first = cut(_alike(forest, sets), "near-links")
     roots = cut(simhash.components(first), "near-roots")
-    met = sets.select("fp")  # whoever has a proposed partner has one in the forest
-    rooted = distinct.join(met, "fp", "left_semi").join(roots, distinct["fp"] == roots["node"], "left").select("fp", "n", "prints", F.coalesce("root", "fp").alias("root"))
-    rest = _proposed(_spread(rooted, levels, tries, n, ["root", "prints"]), True, limit, levels)
-    second = _alike(rest.join(forest.select("a", "b"), ["a", "b"], "left_anti"), sets)
-    return cut(first.unionByName(second), "near-links-all")
+    had = sets.select("fp")  # whoever has a proposed partner has one in the forest
+    rooted = distinct.join(had, "fp", "left_semi").join(roots, distinct["fp"] == roots["node"], "left").select("fp", "n", "prints", F.coalesce("root", "fp").alias("root"))
+    met = cut(_met(_spread(rooted, levels, tries, n, ["root", "prints"]), limit, levels), "near-met")
+    return cut(first.unionByName(_linked(met, rooted, sets, limit, levels)), "near-links-all")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -121,12 +121,13 @@ class Forest:
                 self.edges.append((i, j))
 
 
-def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int = BUDGET, alike: Alike | None = None, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int = BUDGET, alike: Alike | None = None, label: np.ndarray | None = None, every: bool = True) -> list[tuple[int, int]]:
     """A spanning forest of the links between positions of `keys`, found by walking the given pairs of nodes.
 
     `keys` are unsigned; each root (a, a_end, b, b_end) is a pair of sorted stretches, either the same or disjoint.
     `alike` says which pairs of positions within the budget link besides; where it is missing all do. With `label`,
-    every link between positions of different labels is returned, and not only a forest of them.
+    positions of one label count as linked, and every link between different labels is returned, or without `every` a
+    forest of them.
     """
     forest = Forest(len(keys))
     if label is not None:
@@ -156,10 +157,10 @@ def trie_join(keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget:
             if alike is not None:
                 good = alike(a, b)
                 a, b = a[good], b[good]
-            if label is None:
-                forest.link(a, b)
-            else:
+            if label is not None and every:
                 forest.edges += zip(a.tolist(), b.tolist(), strict=True)
+            else:
+                forest.link(a, b)
 
     stack = [(0, np.array(roots, dtype=np.int64).reshape(-1, 4), np.zeros(len(roots), dtype=np.int64))]
     while stack:

@@ -66,3 +66,29 @@ def test_the_limit_itself_is_near():
 
     a = np.arange(9, dtype="<u8")
     assert J.similar(a, a[:8]) and J.similar(a, np.append(a[:8], np.uint64(99))) and not J.similar(a, a[:7])
+
+
+def test_pairs_of_a_large_group_below_the_limit_are_no_rows(spark, monkeypatch):
+    """Texts around one base, most of them a little under the limit to each other: rows grow with the members, not with their pairs."""
+    r = random.Random(8)
+    base = [f"g{r.randrange(9000)}" for _ in range(1000)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for k in r.sample(range(1000), 13):
+            w[k] = f"y{r.randrange(9000)}"
+        rows.append((i, " ".join(w)))
+    made, cut = [], J.cut
+
+    def counted(df, label):
+        out = cut(df, label)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "cut", counted)
+    got = [x["doc_id"] for x in C.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    sets = [brute_set(t) for _, t in rows]
+    most = J.shape(240)[1] * 240
+    assert sum(0.74 < len(a & b) / len(a | b) < 0.8 for k, a in enumerate(sets) for b in sets[:k]) > 1.2 * most
+    assert sorted(got) == brute_kept(rows)
+    assert max(made) <= most

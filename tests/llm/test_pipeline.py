@@ -112,3 +112,24 @@ def test_targets_are_reshared_above_three_times_the_source():
     got = mixing.targets([10, 1000, 1000])
     assert got[0] == 30 and abs(sum(got) - 2010) < 1e-6 and abs(got[1] / got[2] - 2) < 1e-9
     assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
+
+
+def test_a_later_stage_lets_go_of_what_an_earlier_one_held(spark):
+    """Python workers are reused, so what a stage's tasks share must not stay for the stages after it."""
+    from orolog.llm import _shared, langid
+
+    model = langid.Model(["en"], {"a": {0: 1}}, [{"latin": 1.0}])
+    docs = spark.createDataFrame([(i, "a house") for i in range(40)], "doc_id long, text string").repartition(4)
+    assert langid.identify(docs, model).count() == 40
+
+    def held_now(batches):
+        for b in batches:
+            yield b.from_pydict({"n": [sum(len(x) for k, x in vars(m).items() if k in ("_made", "_held", "_built") and isinstance(x, dict)) for m in (_shared, langid)]})
+
+    def later() -> int:
+        return sum(r["n"] for r in docs.select("doc_id").mapInArrow(held_now, "n long").collect())
+
+    for _ in range(2):
+        _shared.map_rows(docs, "doc_id long", lambda: lambda ids, texts: [ids]).count()
+    _shared.map_rows(docs.repartition(16), "doc_id long", lambda: lambda ids, texts: [ids]).collect()
+    assert later() == 0
